@@ -212,6 +212,8 @@ def with_views(query: str) -> str:
             visit(d)
         order.append(name)
 
+    if query.lstrip().upper().startswith("WITH"):
+        query = f"SELECT * FROM (\n{query}\n) q_"
     for name in sorted(_deps(query)):
         visit(name)
     if not order:

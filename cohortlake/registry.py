@@ -36,6 +36,11 @@ def oracle_rounded(query: str, doubles: tuple = ()) -> str:
     return f"SELECT * REPLACE ({repl}) FROM (\n{query}\n) q"
 
 
+def oracle_statements() -> dict:
+    """Oracle SQL with the views each statement needs (resolved at call time)."""
+    return {name: O.with_views(sql) for name, sql in ORACLES.items()}
+
+
 def register(name: str, sql: str | None = None, doubles: tuple = ()):
     """Decorator: register ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
 
@@ -47,7 +52,7 @@ def register(name: str, sql: str | None = None, doubles: tuple = ()):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = O.with_views(oracle_rounded(sql, doubles))
+            ORACLES[name] = oracle_rounded(sql, doubles)
         return fn
 
     return wrap

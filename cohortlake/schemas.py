@@ -72,3 +72,33 @@ SAMPLE_TX_SCHEMA = _struct(
 SAMPLE_LOG_SCHEMA = _struct([("msno", S), ("event_date_raw", S), ("total_secs", D)])
 
 PLAY_COUNT_COLUMNS = ("num_25", "num_50", "num_75", "num_985", "num_100", "num_unq")
+
+FEATURE_SCHEMA = _struct(
+    [
+        ("msno", S),
+        ("is_churn", I),
+        ("membership_tenure_days", I),
+        ("transaction_count_90", L),
+        ("auto_renew_rate_90", D),
+        ("cancellation_count_90", L),
+        ("days_since_last_transaction", I),
+        ("days_until_expiration", I),
+        ("no_recent_transaction", I),
+        ("active_days_30", L),
+        ("total_secs_30", D),
+        ("days_since_last_listen", I),
+        ("no_recent_listening", I),
+    ]
+)
+
+SEGMENT_SCHEMA = _struct(
+    [
+        ("engagement_group", S),
+        ("renewal_group", S),
+        ("subscribers", L),
+        ("churners", L),
+        ("churn_rate", D),
+    ]
+)
+
+DATE_RANGE_SCHEMA = _struct([("table_name", S), ("minimum_valid_date", S), ("maximum_valid_date", S)])
