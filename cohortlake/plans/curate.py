@@ -38,6 +38,17 @@ class CuratedStage:
         )
 
 
+def write_features(stage: CuratedStage, cohorts=("february", "march")) -> dict:
+    """B5 stage: each cohort's feature table written and read back (lineage cut)."""
+    spark = stage.members.sparkSession
+    out = {}
+    for name in cohorts:
+        path = f"{stage.base}/features/{name}"
+        write_parquet(stage.cohort(name), path)
+        out[name] = spark.read.parquet(path)
+    return out
+
+
 def write_stage(clean: CleanTables, base: str) -> str:
     write_parquet(clean.members, f"{base}/typed/members")
     write_partitioned_by_month(clean.transactions, f"{base}/typed/transactions", "transaction_date", "tx")
