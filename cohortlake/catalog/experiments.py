@@ -89,12 +89,12 @@ def scaling_features(spark, sf):
 
 
 O.view("scaling_summary_sql", f"""
-SELECT CAST(p.percentage AS INTEGER) AS percentage, 'Spark DataFrame' AS platform, COUNT(*) AS output_rows,
+SELECT CAST(p.percentage AS INTEGER) AS percentage, 'Spark DataFrame' AS platform, COUNT(f.msno) AS output_rows,
        COUNT(DISTINCT f.msno) AS distinct_users,
        CAST(COALESCE(SUM(f.transaction_count_90), 0) AS BIGINT) AS transaction_count_checksum,
        CAST(COALESCE(SUM(f.active_days_30), 0) AS BIGINT) AS active_days_checksum,
        COALESCE(SUM(f.total_secs_30), 0.0) AS listening_seconds_checksum
-FROM (VALUES {PCT_VALUES}) p(percentage) JOIN february_features f ON {O.bucket('f.msno')} < p.percentage
+FROM (VALUES {PCT_VALUES}) p(percentage) LEFT JOIN february_features f ON {O.bucket('f.msno')} < p.percentage
 GROUP BY p.percentage""")
 
 

@@ -175,22 +175,25 @@ DUPLICATE_COLUMNS = {
 }
 
 
-def duplicate_profile(typed: dict) -> DataFrame:
-    """O2: rows, exact distinct rows (NULLs compare equal), duplicates.
+def exact_duplicates(frame: DataFrame, columns) -> DataFrame:
+    """One row: rows_before, exact_distinct_rows (NULLs compare equal).
 
     Grouping by the whole row is a two-phase hash aggregate: a hot duplicated
     row is combined map-side before the shuffle.
     """
-    parts = []
-    for t in TABLE_ORDER:
-        grouped = typed[t].groupBy(*DUPLICATE_COLUMNS[t]).count()
-        parts.append(
-            grouped.agg(
-                F.lit(t).alias("table_name"),
-                F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("rows_before"),
-                F.count(F.lit(1)).alias("exact_distinct_rows"),
-            )
-        )
+    grouped = frame.groupBy(*columns).count()
+    return grouped.agg(
+        F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("rows_before"),
+        F.count(F.lit(1)).alias("exact_distinct_rows"),
+    )
+
+
+def duplicate_profile(typed: dict) -> DataFrame:
+    """O2: rows, exact distinct rows, duplicates per raw table."""
+    parts = [
+        exact_duplicates(typed[t], DUPLICATE_COLUMNS[t]).select(F.lit(t).alias("table_name"), "*")
+        for t in TABLE_ORDER
+    ]
     return reduce(DataFrame.unionByName, parts).withColumn(
         "exact_duplicate_rows", F.col("rows_before") - F.col("exact_distinct_rows")
     )
