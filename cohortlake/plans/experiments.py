@@ -246,3 +246,29 @@ def scaling_features_from_partials(spark: SparkSession, inputs: ScalingInputs, p
     t = asof.merge_transaction_partials(asof.partial_transactions(tx), cutoff)
     g = asof.merge_listening_partials(asof.daily_listening(logs), cutoff)
     return feature_join(labels, membership, t, g)
+
+
+# ----------------------------------------------------------------- E5
+def stage_timings(spark: SparkSession, inputs: ScalingInputs, percentage: int, cutoff: str = FEB) -> dict:
+    """E5: seconds of the feature steps of one sample (labels+members, transactions,
+    listening, join) -- each step run whole into the noop sink."""
+    from cohortlake.plans.measure import timed_noop
+
+    c = F.lit(cutoff).cast("date")
+    labels = read_sample(spark, inputs, "labels", percentage).dropDuplicates(["msno"])
+    members = read_sample(spark, inputs, "members", percentage).withColumn(
+        "registration_date", parse_iso_date("registration_date_raw"))
+    membership = members.groupBy("msno").agg(F.datediff(c, F.max("registration_date")).alias("membership_tenure_days"))
+    tx = (read_sample(spark, inputs, "transactions", percentage)
+          .withColumn("transaction_date", parse_iso_date("transaction_date_raw"))
+          .withColumn("membership_expire_date", parse_iso_date("membership_expire_date_raw")))
+    logs = (read_sample(spark, inputs, "logs", percentage)
+            .withColumn("event_date", parse_iso_date("event_date_raw")).filter(F.col("total_secs") >= 0))
+    t = asof.transaction_aggregates(tx, cutoff)
+    g = asof.listening_aggregates(logs, cutoff)
+    return {
+        "labels_and_members_seconds": timed_noop(labels.join(membership, "msno", "left")),
+        "transaction_aggregation_seconds": timed_noop(t),
+        "listening_aggregation_seconds": timed_noop(g),
+        "join_seconds": timed_noop(feature_join(labels, membership, t, g)),
+    }

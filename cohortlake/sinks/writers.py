@@ -73,3 +73,16 @@ def write_json(frame: DataFrame, path: str) -> str:
     """DataFrame to JSON lines (e.g. captured physical plans)."""
     frame.coalesce(1).write.mode("overwrite").json(path)
     return path
+
+
+def show_and_write(frame: DataFrame, label: str, path: str, rows: int = 200) -> DataFrame:
+    """Write a small report, then show what was written.
+
+    Writing first and showing the written copy runs the report's plan once
+    (showing first and writing after would run it twice without a cache).
+    """
+    write_report_csv(frame, path)
+    written = frame.sparkSession.read.schema(frame.schema).option("header", True).csv(path)
+    print(f"\n[MILESTONE] {label}")
+    written.show(rows, truncate=False)
+    return written

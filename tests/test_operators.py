@@ -262,3 +262,32 @@ def test_unbound_sql_parameter_raises(spark):
     with pytest.raises(PySparkException):
         run_sql_file(spark, "transaction_features.sql", {"transactions": tx, "labels": labels},
                      {"cutoff": D(2017, 1, 31)}).collect()
+
+
+def test_cached_releases_and_runtime_record(spark):
+    from cohortlake.plans.measure import cached, runtime_record, timed_noop, with_timings
+
+    df = spark.range(10)
+    with cached(df) as c:
+        assert c.is_cached and c.count() == 10
+    assert not df.is_cached
+    rec = runtime_record(spark, "job", 1.5).collect()[0]
+    assert (rec.job, rec.runtime_seconds, rec.status) == ("job", 1.5, "complete")
+    assert with_timings(spark.range(1), training_seconds=2).collect()[0].training_seconds == 2.0
+    assert timed_noop(df) >= 0
+
+
+def test_show_and_write_roundtrip(spark, tmp_path):
+    from cohortlake.sinks.writers import show_and_write
+
+    df = spark.createDataFrame([("  a", 1)], "k string, n int")
+    back = show_and_write(df, "test", str(tmp_path / "r"))
+    assert [tuple(r) for r in back.collect()] == [("  a", 1)]
+
+
+def test_plan_capture_written_as_json(spark, tmp_path):
+    from cohortlake.plans.measure import write_plans
+
+    path = write_plans(spark, {"a": spark.range(3).filter("id > 1")}, str(tmp_path / "plans"))
+    got = spark.read.json(path).collect()[0]
+    assert got.format == "a" and "Physical Plan" in got.physical_plan
