@@ -17,6 +17,7 @@ from cohortlake.operators import model as M
 from cohortlake.plans import pipeline
 from cohortlake.plans.stages import stage
 from cohortlake.registry import register
+from cohortlake.sinks import writers as W
 
 GRID_VALUES = ", ".join(f"(CAST({v / 100.0} AS DOUBLE))" for v in CONFIG.threshold_grid)
 
@@ -117,10 +118,14 @@ def model_threshold(spark, sf, model):
 @register("ml_predictions")
 def ml_predictions(spark, sf):
     """March predictions at the threshold chosen on validation."""
-    model = fitted_model(spark, sf)
-    t = model_threshold(spark, sf, model)
-    scored = M.score(model, splits(spark, sf)[2])
-    return scored.select("msno", "is_churn", "p1", (F.col("p1") >= t).cast("int").alias("predicted_label"))
+    def write(base):
+        model = fitted_model(spark, sf)
+        t = model_threshold(spark, sf, model)
+        scored = M.score(model, splits(spark, sf)[2])
+        W.write_parquet(
+            scored.select("msno", "is_churn", "p1", (F.col("p1") >= t).cast("int").alias("predicted_label")), base)
+
+    return spark.read.parquet(stage(spark, sf, "predictions", write))
 
 
 @register("ml_save_load")
