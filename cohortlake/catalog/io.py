@@ -43,6 +43,16 @@ def scaling_stage(spark, sf) -> X.ScalingInputs:
     return X.ScalingInputs(base)
 
 
+def feature_stage(spark, sf) -> dict:
+    """B5 stage: both cohorts' feature tables built from the curated stage, written, read back."""
+    def write(base):
+        cur = curated_stage(spark, sf)
+        for cohort in ("february", "march"):
+            W.write_parquet(cur.cohort(cohort), f"{base}/{cohort}")
+    base = stage(spark, sf, "features", write)
+    return {c: spark.read.parquet(f"{base}/{c}") for c in ("february", "march")}
+
+
 def curated_as_clean(spark, sf) -> q.CleanTables:
     c = curated_stage(spark, sf)
     return q.CleanTables(c.labels_february, c.labels_march, c.members,

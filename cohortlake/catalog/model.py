@@ -11,6 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from cohortlake import oracle as O
+from cohortlake.catalog.io import feature_stage
 from cohortlake.config import CONFIG
 from cohortlake.functions.columns import hash_bucket
 from cohortlake.operators import model as M
@@ -27,10 +28,9 @@ def fixed_score(frame):
 
 
 def splits(spark, sf):
-    t = pipeline.clean(spark, sf)
-    feb = pipeline.cohort_features(spark, sf, "february", t)
-    mar = pipeline.cohort_features(spark, sf, "march", t)
-    return M.temporal_split(feb, mar)
+    """M1 over the stored feature tables (the model reads the written stage)."""
+    stored = feature_stage(spark, sf)
+    return M.temporal_split(stored["february"], stored["march"])
 
 
 def fitted_model(spark, sf) -> PipelineModel:
