@@ -19,7 +19,7 @@ from cohortlake.operators.joins import aggregate_then_join, fan_out
 from cohortlake.operators.quality import CleanTables
 from cohortlake.operators.sampling import nested_counts, sample_tier
 from cohortlake.schemas import LABEL_SCHEMA, LOG_SCHEMA, SAMPLE_LOG_SCHEMA, SAMPLE_MEMBER_SCHEMA, SAMPLE_TX_SCHEMA
-from cohortlake.sinks.writers import CSV_TEXT_OPTIONS, write_gzip_csv
+from cohortlake.sinks.writers import CSV_TEXT_OPTIONS, by_key_for_write
 from cohortlake.sources.files import read_csv_typed
 
 FEB = CONFIG.cutoffs["february"]
@@ -158,7 +158,7 @@ def build_scaling_inputs(clean: CleanTables, base: str, cutoff: str = FEB,
     )
     for name, frame, n in (("labels", labels, 2), ("members", members, 2), ("transactions", tx, parts),
                            ("logs", logs, parts)):
-        (frame.repartition(n, "msno").write.mode("overwrite").partitionBy("sample_tier")
+        (by_key_for_write(frame, "msno", n).write.mode("overwrite").partitionBy("sample_tier")
          .options(**CSV_TEXT_OPTIONS).option("compression", "gzip").csv(f"{base}/{name}"))
     return ScalingInputs(base)
 

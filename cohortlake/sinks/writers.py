@@ -52,13 +52,20 @@ def write_report_csv(frame: DataFrame, path: str) -> str:
     return path
 
 
-def write_gzip_csv(frame: DataFrame, path: str, partitions: int | None = None, key: str | None = "msno") -> str:
-    """Gzip CSV; with ``partitions`` hash-partitioned on ``key``.
+def by_key_for_write(frame: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Cluster rows by ``key`` for writing, skew-safe.
 
-    Hash partitioning on the key keeps all rows of a subscriber in one part
-    file, so a later reader can aggregate per part without a shuffle.
+    ``REBALANCE`` hash-partitions on the key (a subscriber's rows share a
+    part file) but lets AQE split a partition that a hot key makes too large
+    and merge small ones -- unlike ``repartition(n, key)``, which would put a
+    key holding a third of all rows into one writer task.
     """
-    out = frame.repartition(partitions, key) if partitions and key else frame
+    return frame.hint("rebalance", partitions, key) if partitions else frame.hint("rebalance", key)
+
+
+def write_gzip_csv(frame: DataFrame, path: str, partitions: int | None = None, key: str | None = "msno") -> str:
+    """Gzip CSV, clustered by ``key`` when one is given."""
+    out = by_key_for_write(frame, key, partitions) if key else frame
     out.write.mode("overwrite").options(**CSV_TEXT_OPTIONS).option("compression", "gzip").csv(path)
     return path
 
