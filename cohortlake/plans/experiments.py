@@ -16,7 +16,7 @@ from cohortlake.functions.columns import parse_iso_date, parse_yyyymmdd
 from cohortlake.operators import asof
 from cohortlake.operators.features import feature_checksum, feature_join
 from cohortlake.operators.joins import aggregate_then_join, fan_out
-from cohortlake.operators.quality import CleanTables
+from cohortlake.operators.quality import CleanTables, latest_per_key
 from cohortlake.operators.sampling import nested_counts, sample_tier
 from cohortlake.schemas import LABEL_SCHEMA, LOG_SCHEMA, SAMPLE_LOG_SCHEMA, SAMPLE_MEMBER_SCHEMA, SAMPLE_TX_SCHEMA
 from cohortlake.sinks.writers import CSV_TEXT_OPTIONS, by_key_for_write
@@ -196,10 +196,15 @@ def scaling_inventory(clean: CleanTables, cutoff: str = FEB, percentages=PCTS) -
 
 
 # ----------------------------------------------------------------- E4
+def dedup_labels(labels: DataFrame) -> DataFrame:
+    """U4: one label row per key with a fixed survivor (churned first)."""
+    return latest_per_key(labels, "msno", [F.col("is_churn").desc()])
+
+
 def scaling_features(spark: SparkSession, inputs: ScalingInputs, percentage: int, cutoff: str = FEB) -> DataFrame:
     """The feature table rebuilt from one sample (already windowed and cut)."""
     c = F.lit(cutoff).cast("date")
-    labels = read_sample(spark, inputs, "labels", percentage).dropDuplicates(["msno"])
+    labels = dedup_labels(read_sample(spark, inputs, "labels", percentage))
     members = read_sample(spark, inputs, "members", percentage).withColumn(
         "registration_date", parse_iso_date("registration_date_raw")
     )
@@ -233,7 +238,7 @@ def scaling_features_from_partials(spark: SparkSession, inputs: ScalingInputs, p
                                    cutoff: str = FEB) -> DataFrame:
     """E4 twin: the same features by the mergeable-partials route."""
     c = F.lit(cutoff).cast("date")
-    labels = read_sample(spark, inputs, "labels", percentage).dropDuplicates(["msno"])
+    labels = dedup_labels(read_sample(spark, inputs, "labels", percentage))
     members = read_sample(spark, inputs, "members", percentage).withColumn(
         "registration_date", parse_iso_date("registration_date_raw"))
     tx = (read_sample(spark, inputs, "transactions", percentage)
@@ -255,7 +260,7 @@ def stage_timings(spark: SparkSession, inputs: ScalingInputs, percentage: int, c
     from cohortlake.plans.measure import timed_noop
 
     c = F.lit(cutoff).cast("date")
-    labels = read_sample(spark, inputs, "labels", percentage).dropDuplicates(["msno"])
+    labels = dedup_labels(read_sample(spark, inputs, "labels", percentage))
     members = read_sample(spark, inputs, "members", percentage).withColumn(
         "registration_date", parse_iso_date("registration_date_raw"))
     membership = members.groupBy("msno").agg(F.datediff(c, F.max("registration_date")).alias("membership_tenure_days"))
