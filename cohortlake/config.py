@@ -24,6 +24,7 @@ class PipelineConfig:
     renewal_auto_rate: float = 0.5
     log_loss_epsilon: float = 1e-15
     max_iterations: int = 100
+    # Feature names of the feature table, in this order.
     feature_columns: tuple = (
         "membership_tenure_days",
         "transaction_count_90",

@@ -65,6 +65,11 @@ def absent_flag(joined_key) -> Column:
     return F.when(_col(joined_key).isNull(), F.lit(1)).otherwise(F.lit(0))
 
 
+# Segment labels of the churn report (must read exactly like this).
+NO_LISTENING, HIGH, MODERATE, LOW = "No recent listening", "Highly active", "Moderately active", "Low activity"
+NO_TRANSACTION, AUTO, MANUAL = "No recent transaction", "Mostly auto-renew", "Mostly manual renewal"
+
+
 def engagement_group(
     no_recent_listening="no_recent_listening",
     active_days="active_days_30",
@@ -74,10 +79,10 @@ def engagement_group(
     """Ordered CASE: none / >= high / >= moderate / else."""
     days = _col(active_days)
     return (
-        F.when(_col(no_recent_listening) == 1, F.lit("No recent listening"))
-        .when(days >= high, F.lit("Highly active"))
-        .when(days >= moderate, F.lit("Moderately active"))
-        .otherwise(F.lit("Low activity"))
+        F.when(_col(no_recent_listening) == 1, F.lit(NO_LISTENING))
+        .when(days >= high, F.lit(HIGH))
+        .when(days >= moderate, F.lit(MODERATE))
+        .otherwise(F.lit(LOW))
     )
 
 
@@ -88,7 +93,7 @@ def renewal_group(
 ) -> Column:
     """Ordered CASE: none / rate >= auto_rate / else."""
     return (
-        F.when(_col(no_recent_transaction) == 1, F.lit("No recent transaction"))
-        .when(_col(auto_renew_rate) >= auto_rate, F.lit("Mostly auto-renew"))
-        .otherwise(F.lit("Mostly manual renewal"))
+        F.when(_col(no_recent_transaction) == 1, F.lit(NO_TRANSACTION))
+        .when(_col(auto_renew_rate) >= auto_rate, F.lit(AUTO))
+        .otherwise(F.lit(MANUAL))
     )
