@@ -30,21 +30,21 @@ class CuratedStage:
     transactions: DataFrame
     user_logs: DataFrame
 
-    def cohort(self, name: str) -> DataFrame:
+    def cohort(self, name: str, cutoff: str | None = None) -> DataFrame:
         labels = self.labels_february if name == "february" else self.labels_march
         return build_cohort(
-            labels, self.members, self.transactions, self.user_logs, CONFIG.cutoffs[name],
+            labels, self.members, self.transactions, self.user_logs, cutoff or CONFIG.cutoffs[name],
             tx_partitions=TX_PARTITIONS, log_partitions=LOG_PARTITIONS,
         )
 
 
-def write_features(stage: CuratedStage, cohorts=("february", "march")) -> dict:
+def write_features(stage: CuratedStage, cohorts=("february", "march"), cutoffs: dict | None = None) -> dict:
     """B5 stage: each cohort's feature table written and read back (lineage cut)."""
     spark = stage.members.sparkSession
     out = {}
     for name in cohorts:
         path = f"{stage.base}/features/{name}"
-        write_parquet(stage.cohort(name), path)
+        write_parquet(stage.cohort(name, (cutoffs or {}).get(name)), path)
         out[name] = spark.read.parquet(path)
     return out
 

@@ -51,13 +51,13 @@ def aggregate_first_join(labels: DataFrame, logs: DataFrame, tx: DataFrame) -> D
     )
 
 
-def join_strategy(clean: CleanTables) -> DataFrame:
+def join_strategy(clean: CleanTables, cutoff: str = FEB) -> DataFrame:
     """Input sizes and output rows of the raw many-to-many join vs aggregate-first.
 
     The raw join's size is computed from per-key counts (``fan_out``), never
     by materialising the pairs; the aggregate-first result is counted for real.
     """
-    labels, logs, tx = join_experiment_inputs(clean)
+    labels, logs, tx = join_experiment_inputs(clean, cutoff)
     users = labels.select(F.count(F.lit(1))).scalar()
     n_logs = logs.select(F.count(F.lit(1))).scalar()
     n_tx = tx.select(F.count(F.lit(1))).scalar()
@@ -94,12 +94,22 @@ def csv_log_aggregate(spark: SparkSession, csv_path: str, cutoff: str = FEB) ->
     return window_aggregate(raw.filter(F.col("total_secs") >= 0), cutoff)
 
 
-def format_experiment(spark: SparkSession, raw_logs: DataFrame, parquet_logs: DataFrame, csv_path: str,
-                      partition_cols: tuple | None = None) -> DataFrame:
-    """The same 30-day aggregate from CSV and from Parquet, with a match flag."""
-    raw_logs.write.mode("overwrite").options(**CSV_TEXT_OPTIONS).csv(csv_path)
-    csv_q = csv_log_aggregate(spark, csv_path)
-    pq_q = window_aggregate(parquet_logs, partition_cols=partition_cols)
+def format_queries(spark: SparkSession, csv_path: str, parquet_logs: DataFrame, cutoff: str = FEB,
+                   partition_cols: tuple | None = None) -> tuple:
+    """E2's two plans: (CSV aggregate, Parquet aggregate)."""
+    return (csv_log_aggregate(spark, csv_path, cutoff),
+            window_aggregate(parquet_logs, cutoff, partition_cols=partition_cols))
+
+
+def format_experiment(spark: SparkSession, raw_logs: DataFrame | None, parquet_logs: DataFrame, csv_path: str,
+                      partition_cols: tuple | None = None, cutoff: str = FEB) -> DataFrame:
+    """The same 30-day aggregate from CSV and from Parquet, with a match flag.
+
+    ``raw_logs`` is written to ``csv_path`` first unless it is None (CSV already there).
+    """
+    if raw_logs is not None:
+        raw_logs.write.mode("overwrite").options(**CSV_TEXT_OPTIONS).csv(csv_path)
+    csv_q, pq_q = format_queries(spark, csv_path, parquet_logs, cutoff, partition_cols)
 
     def summary(name, q):
         return q.agg(
