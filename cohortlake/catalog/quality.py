@@ -18,6 +18,7 @@ from cohortlake.operators import features as feat
 from cohortlake.operators import joins
 from cohortlake.operators import quality as q
 from cohortlake.plans import pipeline
+from cohortlake.plans.experiments import join_experiment_inputs
 from cohortlake.registry import register
 
 FEB, MAR = CONFIG.cutoffs["february"], CONFIG.cutoffs["march"]
@@ -333,15 +334,7 @@ WHERE t.msno IN (SELECT msno FROM labels_february)
 
 def join_inputs(spark, sf):
     """The February cohort and its windowed, cohort-restricted event rows."""
-    t = pipeline.clean(spark, sf)
-    labels = t.labels_february
-    logs = asof.restrict_to_cohort(
-        asof.asof_window(t.user_logs, "event_date", FEB, LOG_DAYS), labels
-    ).select("msno", "event_date", "total_secs")
-    tx = asof.restrict_to_cohort(
-        asof.asof_window(t.transactions, "transaction_date", FEB, TX_DAYS), labels
-    ).select("msno", "transaction_date", "is_auto_renew", "is_cancel")
-    return labels, logs, tx
+    return join_experiment_inputs(pipeline.clean(spark, sf), FEB)
 
 
 @register("semi_join_cohort", "SELECT * FROM feb_join_logs", doubles=("total_secs",))

@@ -57,19 +57,25 @@ def cohort_keys(labels: DataFrame, key: str = CONFIG.key) -> DataFrame:
     return labels.select(key)
 
 
+def cohort_is_small(labels: DataFrame, broadcast_max_keys: int = BROADCAST_MAX_KEYS) -> bool:
+    """Size check behind every cohort broadcast: a count of the label keys."""
+    return labels.count() <= broadcast_max_keys
+
+
 def restrict_to_cohort(
     frame: DataFrame,
     labels: DataFrame,
     key: str = CONFIG.key,
-    broadcast_max_keys: int = BROADCAST_MAX_KEYS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Keep rows whose key is in the cohort (left semi join).
 
-    A broadcast is used only when the cohort is proven small by a count;
-    otherwise both sides shuffle on the key (AQE may still coalesce/skew-split).
+    A broadcast is used only when the cohort is proven small (``small``, or a
+    count when not given); otherwise both sides shuffle on the key and AQE may
+    still coalesce or split skewed partitions.
     """
     keys = cohort_keys(labels, key)
-    if keys.count() <= broadcast_max_keys:
+    if cohort_is_small(labels) if small is None else small:
         keys = F.broadcast(keys)
     return frame.join(keys, key, "left_semi")
 

@@ -28,6 +28,7 @@ from cohortlake.functions.columns import (
 from cohortlake.operators.asof import (
     BROADCAST_MAX_KEYS,
     asof_window,
+    cohort_is_small,
     listening_aggregates,
     transaction_aggregates,
 )
@@ -42,15 +43,17 @@ def cohort_aggregate(
     key: str = KEY,
     restrict: bool = True,
     broadcast_max_keys: int = BROADCAST_MAX_KEYS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Aggregate ``events`` per key for the cohort's keys only (J3 + A4/A5).
 
-    Small cohort (checked by count): broadcast semi join, then aggregate.
-    Large cohort: aggregate first, then (if ``restrict``) a shuffled semi
-    join on the already key-partitioned aggregate.  Same rows either way.
+    Small cohort (checked by count, or ``small`` from a check already made):
+    broadcast semi join, then aggregate.  Large cohort: aggregate first, then
+    (if ``restrict``) a shuffled semi join on the already key-partitioned
+    aggregate.  Same rows either way.
     """
     keys = labels.select(key)
-    if keys.count() <= broadcast_max_keys:
+    if cohort_is_small(labels, broadcast_max_keys) if small is None else small:
         return aggregate(events.join(F.broadcast(keys), key, "left_semi"))
     out = aggregate(events)
     return out.join(keys, key, "left_semi") if restrict else out
@@ -71,10 +74,12 @@ def transaction_features(
     days: int = CONFIG.transaction_days,
     partition_cols: tuple | None = None,
     restrict: bool = True,
+    small: bool | None = None,
 ) -> DataFrame:
     """B2: count, auto-renew rate, cancellations, recency, days to expiry."""
     windowed = asof_window(transactions, "transaction_date", cutoff, days, partition_cols)
-    return cohort_aggregate(windowed, labels, lambda f: transaction_aggregates(f, cutoff), restrict=restrict)
+    return cohort_aggregate(windowed, labels, lambda f: transaction_aggregates(f, cutoff), restrict=restrict,
+                            small=small)
 
 
 def listening_features(
@@ -84,10 +89,12 @@ def listening_features(
     days: int = CONFIG.listening_days,
     partition_cols: tuple | None = None,
     restrict: bool = True,
+    small: bool | None = None,
 ) -> DataFrame:
     """Active days, seconds, recency over the listening window."""
     windowed = asof_window(user_logs, "event_date", cutoff, days, partition_cols)
-    return cohort_aggregate(windowed, labels, lambda f: listening_aggregates(f, cutoff), restrict=restrict)
+    return cohort_aggregate(windowed, labels, lambda f: listening_aggregates(f, cutoff), restrict=restrict,
+                            small=small)
 
 
 FEATURE_TABLE_COLUMNS = (
@@ -145,8 +152,9 @@ def build_cohort(
         KEY,
         F.datediff(F.lit(cutoff).cast("date"), F.col("registration_date")).alias("membership_tenure_days"),
     )
-    tx = transaction_features(transactions, labels, cutoff, tx_days, tx_partitions, restrict=False)
-    lg = listening_features(user_logs, labels, cutoff, log_days, log_partitions, restrict=False)
+    small = cohort_is_small(labels)  # one size check for both event tables
+    tx = transaction_features(transactions, labels, cutoff, tx_days, tx_partitions, restrict=False, small=small)
+    lg = listening_features(user_logs, labels, cutoff, log_days, log_partitions, restrict=False, small=small)
     return feature_join(labels, membership, tx, lg)
 
 

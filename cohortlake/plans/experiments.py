@@ -30,8 +30,11 @@ PCTS = CONFIG.scaling_percentages
 # ----------------------------------------------------------------- E1
 def join_experiment_inputs(clean: CleanTables, cutoff: str = FEB):
     labels = clean.labels_february
-    logs = asof.restrict_to_cohort(asof.asof_window(clean.user_logs, "event_date", cutoff, LOG_DAYS), labels)
-    tx = asof.restrict_to_cohort(asof.asof_window(clean.transactions, "transaction_date", cutoff, TX_DAYS), labels)
+    small = asof.cohort_is_small(labels)
+    logs = asof.restrict_to_cohort(asof.asof_window(clean.user_logs, "event_date", cutoff, LOG_DAYS), labels,
+                                   small=small)
+    tx = asof.restrict_to_cohort(asof.asof_window(clean.transactions, "transaction_date", cutoff, TX_DAYS), labels,
+                                 small=small)
     return (labels,
             logs.select("msno", "event_date", "total_secs"),
             tx.select("msno", "transaction_date", "is_auto_renew", "is_cancel"))
