@@ -138,14 +138,12 @@ class ScalingInputs:
 
 def build_scaling_inputs(clean: CleanTables, base: str, cutoff: str = FEB,
                          percentages=PCTS, partitions: int | None = None) -> ScalingInputs:
-    """Write the nested hash samples once, as gzip CSV hash-partitioned by key.
+    """Write the nested hash samples once, as gzip CSV clustered by key.
 
     Every row carries ``sample_tier`` (the smallest percentage that holds its
     key) and is written into that tier's directory, so the p% sample is the
     set of tiers <= p and each row is stored once, not once per percentage.
     """
-    top = max(percentages)
-    parts = partitions or max(2, top)
     labels = clean.labels_february.withColumn("sample_tier", sample_tier(percentages=percentages)).filter(
         F.col("sample_tier").isNotNull()
     )
@@ -169,9 +167,9 @@ def build_scaling_inputs(clean: CleanTables, base: str, cutoff: str = FEB,
     logs = cut(daily).select(
         "msno", F.date_format("event_date", "yyyy-MM-dd").alias("event_date_raw"), "total_secs", "sample_tier"
     )
-    for name, frame, n in (("labels", labels, 2), ("members", members, 2), ("transactions", tx, parts),
-                           ("logs", logs, parts)):
-        (by_key_for_write(frame, "msno", n).write.mode("overwrite").partitionBy("sample_tier")
+    # File count follows the data (AQE advisory size) unless ``partitions`` pins it.
+    for name, frame in (("labels", labels), ("members", members), ("transactions", tx), ("logs", logs)):
+        (by_key_for_write(frame, "msno", partitions).write.mode("overwrite").partitionBy("sample_tier")
          .options(**CSV_TEXT_OPTIONS).option("compression", "gzip").csv(f"{base}/{name}"))
     return ScalingInputs(base)
 
