@@ -291,3 +291,19 @@ def test_plan_capture_written_as_json(spark, tmp_path):
     path = write_plans(spark, {"a": spark.range(3).filter("id > 1")}, str(tmp_path / "plans"))
     got = spark.read.json(path).collect()[0]
     assert got.format == "a" and "Physical Plan" in got.physical_plan
+
+
+def test_size_shuffles_only_raises(spark):
+    from cohortlake.session import size_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        assert size_shuffles(spark, 1024) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffles(spark, 100 * 1024 ** 4) == 81_920  # 100 TiB input: 20 % shuffled, 256 MiB partitions
+        assert spark.conf.get(key) == "81920"
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
