@@ -122,6 +122,14 @@ def main() -> None:
     timings["ml_threshold_search"] = round(
         median_time(lambda: M.threshold_search(M.score(model, validation)), repeats), 3)
 
+    sizes = {
+        "labels_february": stage.labels_february.count(),
+        "members": stage.members.count(),
+        "transactions": stage.transactions.count(),
+        "user_logs": stage.user_logs.count(),
+        "raw_transactions": csv_raw["transactions"].count(),
+        "raw_user_logs": csv_raw["user_logs"].count(),
+    }
     ratios = {
         "join_aggregate_first_vs_fanout_count": round(timings["join_aggregate_first"] / max(timings["join_raw_fanout"], 1e-9), 3),
         "csv_vs_parquet_30day": round(timings["csv_30day_aggregation"] / max(timings["parquet_30day_aggregation"], 1e-9), 3),
@@ -135,6 +143,7 @@ def main() -> None:
         "queries": timings,
         "ratios": ratios,
         "stage_timings_20pct": stages_20,
+        "input_rows": sizes,
         "preparation_sec_excluded": round(prep, 3),
         "wall_sec": round(time.perf_counter() - started, 3),
         "repeats": repeats,
