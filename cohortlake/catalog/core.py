@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from cohortlake import oracle as O
 from cohortlake.config import CONFIG
 from cohortlake.operators import features as feat

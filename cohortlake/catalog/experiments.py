@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortlake import oracle as O
-from cohortlake.catalog.io import curated_as_clean, curated_stage, raw_csv_stage, scaling_stage
+from cohortlake.catalog.io import curated_stage, scaling_stage
 from cohortlake.config import CONFIG
 from cohortlake.operators.reconcile import reconcile
 from cohortlake.plans import curate, experiments as X, pipeline

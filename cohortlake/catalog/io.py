@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from cohortlake import oracle as O
@@ -16,7 +15,7 @@ from cohortlake.operators import quality as q
 from cohortlake.plans import curate, experiments as X, pipeline
 from cohortlake.plans.stages import stage
 from cohortlake.registry import register
-from cohortlake.schemas import DATE_RANGE_SCHEMA, FEATURE_SCHEMA, RAW_SCHEMAS, SEGMENT_SCHEMA
+from cohortlake.schemas import DATE_RANGE_SCHEMA, FEATURE_SCHEMA, SEGMENT_SCHEMA
 from cohortlake.sinks import writers as W
 from cohortlake.sources import files
 

@@ -14,7 +14,6 @@ Plan shape of ``build_cohort`` (checked with ``explain``):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, functions as F
