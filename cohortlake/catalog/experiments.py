@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortlake import oracle as O
-from cohortlake.catalog.io import curated_stage, scaling_stage
+from cohortlake.catalog.io import curated_stage, raw_csv_stage, scaling_stage
 from cohortlake.config import CONFIG
 from cohortlake.operators.reconcile import reconcile
 from cohortlake.plans import curate, experiments as X, pipeline
-from cohortlake.plans.stages import stage
 from cohortlake.registry import register
 
 FEB = CONFIG.cutoffs["february"]
@@ -49,9 +48,8 @@ SELECT format, output_users, seconds_checksum,
 FROM b""", doubles=("seconds_checksum",))
 def exp_csv_vs_parquet(spark, sf):
     cur = curated_stage(spark, sf)
-    path = stage(spark, sf, "raw-logs-csv-exp", lambda b: None)
-    return X.format_experiment(spark, pipeline.raw(spark, sf).user_logs, cur.user_logs, path,
-                               partition_cols=curate.LOG_PARTITIONS)
+    csv_logs = f"{raw_csv_stage(spark, sf)}/user_logs"
+    return X.format_experiment(spark, None, cur.user_logs, csv_logs, partition_cols=curate.LOG_PARTITIONS)
 
 
 def _sample_counts_sql() -> str:
