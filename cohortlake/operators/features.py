@@ -96,13 +96,6 @@ def listening_features(
                             small=small)
 
 
-FEATURE_TABLE_COLUMNS = (
-    "msno",
-    "is_churn",
-    *CONFIG.feature_columns,
-)
-
-
 def feature_join(labels: DataFrame, membership: DataFrame, tx: DataFrame, listening: DataFrame,
                  key: str = KEY) -> DataFrame:
     """Label-preserving star join with the absence rules.
