@@ -219,3 +219,20 @@ def ml_auc(spark, sf):
     scored = fixed_score(pipeline.cohort_features(spark, sf, "march"))
     roc, pr = M.evaluator_auc(scored, "p1")
     return spark.createDataFrame([(roc, pr)], "roc_auc double, pr_auc double")
+
+
+@register("cross_join_broadcast", f"""
+WITH g(threshold) AS (VALUES {GRID_VALUES})
+SELECT g.threshold,
+       COUNT(*) FILTER (WHERE s.is_churn = 1 AND s.p1 >= g.threshold) AS tp,
+       COUNT(*) FILTER (WHERE s.is_churn = 0 AND s.p1 >= g.threshold) AS fp,
+       COUNT(*) FILTER (WHERE s.is_churn = 1 AND s.p1 < g.threshold) AS fn
+FROM g CROSS JOIN mar_scored s GROUP BY g.threshold""", doubles=("threshold",))
+def cross_join_broadcast(spark, sf):
+    """What rows x 17 thresholds + group-by gives, without pairing any rows.
+
+    The oracle performs the real cross join; here each row is counted into the
+    thresholds it passes inside one wide aggregate (``threshold_search``).
+    """
+    scored = fixed_score(pipeline.cohort_features(spark, sf, "march"))
+    return M.threshold_search(scored).select("threshold", "tp", "fp", "fn")
