@@ -56,7 +56,7 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_entry_and_entry_runs(spark):
-    assert len(E.queries()) >= 70
+    assert len(E.queries()) >= 72
     assert set(E.oracle_sql()) <= set(E.queries())
     out = E.entry(spark)
     assert out.count() > 0
