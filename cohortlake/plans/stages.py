@@ -11,13 +11,13 @@ from typing import Callable
 
 from pyspark.sql import SparkSession
 
-from cohortlake.session import scratch_path
+from cohortlake.session import application_id, scratch_path
 
 _WRITTEN: dict = {}
 
 
 def stage(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (application_id(spark), sf_dir.rstrip("/"), name)
     if key not in _WRITTEN:
         base = scratch_path(spark, name)
         write(base)

@@ -28,20 +28,37 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a remote (Connect) one."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions expose no SparkContext
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; set one only when none is configured."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
         # Local runs and tests only: a cluster names a shared folder itself.
         configured = os.path.join(tempfile.gettempdir(), "cohortlake-checkpoints")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def application_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else (spark.conf.get("spark.app.id", None) or "remote")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate outputs next to the checkpoints."""
     base = checkpoint_dir(spark).rstrip("/")
