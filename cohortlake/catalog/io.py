@@ -13,6 +13,7 @@ from cohortlake.functions.columns import hash_bucket, parse_iso_date
 from cohortlake.operators import features as feat
 from cohortlake.operators import quality as q
 from cohortlake.plans import curate, experiments as X, pipeline
+from cohortlake.plans import refresh as R
 from cohortlake.plans.stages import stage
 from cohortlake.registry import register
 from cohortlake.schemas import DATE_RANGE_SCHEMA, FEATURE_SCHEMA, SEGMENT_SCHEMA
@@ -185,3 +186,19 @@ def result_index(spark, sf):
     ]
     index = files.inventory(spark, entries, label_col="category", path_col="path")
     return files.require_all_exist(index)
+
+
+@register("features_incremental_refresh", "SELECT * FROM march_features", doubles=FEATURE_DOUBLES)
+def features_incremental_refresh(spark, sf):
+    """A15/A16 as incremental refresh: load all days' partials, then refresh the
+    months holding the last week of the March window, then merge the window."""
+    t = pipeline.clean(spark, sf)
+    end = dt.date.fromisoformat(MAR)
+    last_week = [(end - dt.timedelta(days=i)).isoformat() for i in range(7)]
+
+    def write(base):
+        store = R.refresh_partials(R.PartialStore(base), t.transactions, t.user_logs)
+        R.refresh_partials(store, t.transactions, t.user_logs, days=last_week)
+
+    store = R.PartialStore(stage(spark, sf, "daily-partials", write))
+    return R.features_from_partials(spark, store, t.labels_march, t.members, MAR)

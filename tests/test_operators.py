@@ -307,3 +307,27 @@ def test_size_shuffles_only_raises(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def test_incremental_refresh_rewrites_only_touched_months(spark, tmp_path):
+    import os
+
+    from cohortlake.plans import refresh as R
+
+    schema = "msno string, is_auto_renew int, transaction_date date, membership_expire_date date, is_cancel int"
+    tx = spark.createDataFrame(
+        [("a", 1, D(2016, 12, 5), D(2017, 1, 5), 0), ("a", 0, D(2017, 1, 10), D(2017, 2, 10), 1)], schema)
+    logs = spark.createDataFrame([("a", D(2017, 1, 30), 5.0)], "msno string, event_date date, total_secs double")
+    labels = spark.createDataFrame([("a", 1)], "msno string, is_churn int")
+    members = spark.createDataFrame([("a", D(2016, 1, 31))], "msno string, registration_date date")
+    store = R.refresh_partials(R.PartialStore(str(tmp_path / "p")), tx, logs)
+    dec = tmp_path / "p" / "tx_daily" / "p_year=2016" / "p_month=12"
+    before = sorted(os.listdir(dec))
+
+    more = tx.unionByName(spark.createDataFrame([("a", 1, D(2017, 1, 20), D(2017, 3, 1), 0)], schema))
+    R.refresh_partials(store, more, logs, days=["2017-01-20"])
+    assert sorted(os.listdir(dec)) == before  # untouched month kept its files
+
+    row = R.features_from_partials(spark, store, labels, members, "2017-01-31").collect()[0]
+    assert row.transaction_count_90 == 3 and row.days_until_expiration == 29
+    assert row.active_days_30 == 1 and row.total_secs_30 == 5.0
