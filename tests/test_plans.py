@@ -36,3 +36,31 @@ def test_partial_aggregation_before_shuffle(spark):
 def test_row_number_gets_partial_group_limit(spark):
     plan = physical_plan(pipeline.clean(spark, SF_SMALL).members, "simple")
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_fan_out_and_threshold_search_pair_no_rows(spark):
+    from cohortlake.operators import joins
+    from cohortlake.operators import model as M
+
+    a = spark.createDataFrame([("k", 1)], "msno string, x int")
+    plan = physical_plan(joins.fan_out(a, a), "simple")
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    scored = spark.createDataFrame([("k", 1, 0.5)], "msno string, is_churn int, p1 double")
+    plan = physical_plan(M.threshold_search(scored), "simple")
+    assert "Join" not in plan and "CartesianProduct" not in plan
+
+
+def test_refresh_merge_prunes_month_partitions(spark, tmp_path):
+    import datetime as dt
+
+    from cohortlake.plans import refresh as R
+
+    tx = spark.createDataFrame(
+        [("a", 1, dt.date(2016, 6, 1), dt.date(2016, 7, 1), 0), ("a", 1, dt.date(2017, 1, 10), dt.date(2017, 2, 1), 0)],
+        "msno string, is_auto_renew int, transaction_date date, membership_expire_date date, is_cancel int")
+    logs = spark.createDataFrame([("a", dt.date(2017, 1, 30), 1.0)], "msno string, event_date date, total_secs double")
+    store = R.refresh_partials(R.PartialStore(str(tmp_path / "p")), tx, logs)
+    labels = spark.createDataFrame([("a", 0)], "msno string, is_churn int")
+    members = spark.createDataFrame([("a", dt.date(2016, 1, 1))], "msno string, registration_date date")
+    plan = physical_plan(R.features_from_partials(spark, store, labels, members, "2017-01-31"))
+    assert "PartitionFilters: [((p_year" in plan
