@@ -17,7 +17,7 @@ KEYS = [
     "clean_labels", "clean_members", "clean_transactions", "clean_user_logs", "cohort_february", "churn_segments",
     "quality_profile", "duplicate_profile", "treatment_summary", "grain_check", "feature_null_summary",
     "join_many_to_many", "tx_features_from_partials", "threshold_search", "binary_metrics", "auc_exact",
-    "scaling_summary", "stage_roundtrip",
+    "scaling_summary", "stage_roundtrip", "cross_join_broadcast", "features_incremental_refresh",
 ]
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
