@@ -19,6 +19,10 @@ KEYS = [
     "join_many_to_many", "tx_features_from_partials", "threshold_search", "binary_metrics", "auc_exact",
     "scaling_summary", "stage_roundtrip", "cross_join_broadcast", "features_incremental_refresh",
 ]
+SPARK_TO_DUCK = {
+    "StringType": "VARCHAR", "IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE",
+    "DateType": "DATE", "BooleanType": "BOOLEAN",
+}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -51,6 +55,9 @@ def test_query_matches_oracle(spark, con, key):
     onames = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(onames)
+    duck_types = {d[0]: str(d[1]) for d in cur.description}
+    spark_types = {f.name: SPARK_TO_DUCK[type(f.dataType).__name__] for f in df.schema}
+    assert spark_types == duck_types
     assert len(rows) == len(orows) > 0
     assert _digest(df.columns, rows) == _digest(onames, orows)
 
