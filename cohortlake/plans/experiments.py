@@ -57,28 +57,34 @@ def aggregate_first_join(labels: DataFrame, logs: DataFrame, tx: DataFrame) -> D
 def join_strategy(clean: CleanTables, cutoff: str = FEB) -> DataFrame:
     """Input sizes and output rows of the raw many-to-many join vs aggregate-first.
 
-    The raw join's size is computed from per-key counts (``fan_out``), never
-    by materialising the pairs; the aggregate-first result is counted for real.
+    One full outer join of per-key row counts gives both input sizes and the
+    raw join's size (sum of count products) in a single pass -- the pairs are
+    never materialised.  The aggregate-first result is counted for real.
     """
     labels, logs, tx = join_experiment_inputs(clean, cutoff)
+    lc = logs.groupBy("msno").agg(F.count(F.lit(1)).alias("l"))
+    tc = tx.groupBy("msno").agg(F.count(F.lit(1)).alias("t"))
+    stats = lc.join(tc, "msno", "full_outer").agg(
+        F.coalesce(F.sum("l"), F.lit(0)).cast("long").alias("input_listening_rows"),
+        F.coalesce(F.sum("t"), F.lit(0)).cast("long").alias("input_transaction_rows"),
+        F.coalesce(F.sum(F.col("l") * F.col("t")), F.lit(0)).cast("long").alias("raw_rows"),
+    )
     users = labels.select(F.count(F.lit(1))).scalar()
-    n_logs = logs.select(F.count(F.lit(1))).scalar()
-    n_tx = tx.select(F.count(F.lit(1))).scalar()
-    raw_rows = fan_out(logs, tx).select(F.coalesce(F.sum("joined_rows"), F.lit(0)).cast("long")).scalar()
     agg_rows = aggregate_first_join(labels, logs, tx).select(F.count(F.lit(1))).scalar()
-    anchor = labels.agg(F.count(F.lit(1)).alias("_n"))
+    with_scalars = stats.select("*", users.alias("users"), agg_rows.alias("agg_rows"))
 
     def row(name, out):
-        return anchor.select(
+        return F.struct(
             F.lit(name).alias("strategy"),
-            users.alias("sample_subscribers"),
-            n_logs.alias("input_listening_rows"),
-            n_tx.alias("input_transaction_rows"),
-            out.alias("output_rows"),
-            (out / F.greatest(users, F.lit(1))).alias("output_rows_per_subscriber"),
+            F.col("users").alias("sample_subscribers"),
+            F.col("input_listening_rows"),
+            F.col("input_transaction_rows"),
+            F.col(out).alias("output_rows"),
+            (F.col(out) / F.greatest(F.col("users"), F.lit(1))).alias("output_rows_per_subscriber"),
         )
 
-    return row("raw_many_to_many_join", raw_rows).unionByName(row("aggregate_before_join", agg_rows))
+    return with_scalars.select(F.inline(F.array(row("raw_many_to_many_join", "raw_rows"),
+                                                row("aggregate_before_join", "agg_rows"))))
 
 
 # ----------------------------------------------------------------- E2
