@@ -254,9 +254,10 @@ SELECT msno, {O.bucket()} AS split_bucket,
 FROM february_features WHERE {O.bucket()} IS NOT NULL""")
 def hash_split(spark, sf):
     f = pipeline.cohort_features(spark, sf, "february").withColumn("split_bucket", hash_bucket("msno"))
-    train = f.filter(F.col("split_bucket") < CONFIG.train_buckets).withColumn("dataset", F.lit("train"))
-    valid = f.filter(F.col("split_bucket") >= CONFIG.train_buckets).withColumn("dataset", F.lit("validation"))
-    return train.unionByName(valid).select("msno", "split_bucket", "dataset")
+    # One pass labels each row with its side; a NULL bucket falls out of both.
+    side = (F.when(F.col("split_bucket") < CONFIG.train_buckets, F.lit("train"))
+            .when(F.col("split_bucket") >= CONFIG.train_buckets, F.lit("validation")))
+    return f.select("msno", "split_bucket", side.alias("dataset")).filter(F.col("dataset").isNotNull())
 
 
 # ----------------------------------------------------------------- U2, U4
