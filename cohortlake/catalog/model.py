@@ -49,7 +49,8 @@ SELECT 'February model training' AS dataset, COUNT(*) AS rows FROM february_feat
 UNION ALL SELECT 'February threshold validation', COUNT(*) FROM february_features WHERE {O.bucket()} >= 80
 UNION ALL SELECT 'March untouched temporal test', COUNT(*) FROM march_features""")
 def ml_split_summary(spark, sf):
-    return M.split_summary(*splits(spark, sf))
+    stored = feature_stage(spark, sf)
+    return M.split_summary_of(stored["february"], stored["march"])
 
 
 @register("ml_class_weights", f"""
