@@ -1,0 +1,2 @@
+"""Compositions of operators: lazy pipelines, written stages, experiments,
+incremental refresh, measurement and the four batch jobs."""
