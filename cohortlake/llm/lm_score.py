@@ -93,18 +93,19 @@ class Lexicon:
         return found
 
 
-def lexicon(docs: DataFrame) -> Lexicon:
+def lexicon(docs: DataFrame) -> tuple[list[tuple[bytes, int]], dict[int, tuple[int, int]]]:
+    """The arguments of a Lexicon: frequent words, and sums over the others by shared class."""
     counts = stored(word_counts(docs), "word-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(TOP)
     frequent = [(bytes(w), n) for w, n in top.collect()]
     if len(frequent) < TOP:
-        return Lexicon(frequent, {})
+        return frequent, {}
     # What is not among the frequent words, by class.
     kept = F.struct(F.col("n"), F.col("word"))
     last = F.struct(F.lit(frequent[-1][1]).cast("long").alias("n"), F.lit(bytearray(frequent[-1][0])).alias("word"))
     beyond = (kept["n"] < last["n"]) | ((kept["n"] == last["n"]) & (kept["word"] > last["word"]))
     rest = counts.where(beyond).groupBy((F.crc32("word") % SHARED).alias("c")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
-    return Lexicon(frequent, {int(r.c): (r.words, r.n) for r in rest})
+    return frequent, {int(r.c): (r.words, r.n) for r in rest}
 
 
 def initial(seed: int = 7) -> list[np.ndarray]:
@@ -179,8 +180,9 @@ def trained(docs: DataFrame, lex, net: list[np.ndarray], part: int) -> list[np.n
     def run(batches):
         own = [v.copy() for v in start.value]
         squares, cache, n = [np.full_like(v, 1e-6) for v in own], {}, 0
+        known = Lexicon(*lex.value)
         for batch in sliced(batches, "text", 1 << 20):
-            ids, _ = classified(utf8(batch, "text"), cache, lex.value)
+            ids, _ = classified(utf8(batch, "text"), cache, known)
             targets, around = windows(ids)
             learn(own, squares, targets, around)
             n += len(targets)
@@ -200,7 +202,7 @@ def trained(docs: DataFrame, lex, net: list[np.ndarray], part: int) -> list[np.n
 
 
 def fit(docs: DataFrame):
-    """(broadcast lexicon, network) of a corpus (doc_id, text)."""
+    """(broadcast arguments of a Lexicon, network) of a corpus (doc_id, text)."""
     lex = docs.sparkSession.sparkContext.broadcast(lexicon(docs))
     net = initial()
     for part in range(ROUNDS):
@@ -216,9 +218,9 @@ def lm_scores(docs: DataFrame, model=None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
-        cache: dict = {}
+        cache, known = {}, Lexicon(*lex.value)
         for batch in sliced(batches, "text", 1 << 20):
-            ids, within = classified(utf8(batch, "text"), cache, lex.value)
+            ids, within = classified(utf8(batch, "text"), cache, known)
             logs = log_probabilities(shared.value, *windows(ids)) + np.concatenate(within)
             sizes = np.array([len(x) for x in ids])
             ends = np.concatenate([[0.0], np.cumsum(logs)])[np.concatenate([[0], np.cumsum(sizes)])]

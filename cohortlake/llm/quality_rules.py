@@ -35,8 +35,8 @@ RULES = (
     ("word_length", "word_chars", "n_words", 200, 1500),
     ("symbols", "n_symbols", "n_words", None, 10),
     ("marks", "n_marks", "n_words", None, 30),
-    ("stop_words", "n_stop_words", "n_words", 4, None),
-    ("duplicate_lines", "n_dup_lines", "n_lines", None, 30),
+    ("stop_words", "n_stop_words", "n_words", 2, None),
+    ("duplicate_lines", "n_dup_lines", "n_lines", None, 40),
 )
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_marks", "n_stop_words", "n_lines", "n_dup_lines", "n_repeat_words")
 
