@@ -19,10 +19,11 @@ Work flow, all of it Spark jobs over tables in the shared scratch folder:
    ``t`` needs ``t`` of the shingles of either side in both (exact);
 5. links are confirmed on the full shingle sets, in three rounds: within each
    key of the diagonal tables every node is held against one hub, then within
-   each key of all tables against one hub of another component, and last all
-   pairs of different components that share a key.  Nodes that are already
-   connected are never compared, so a group of thousands of near copies costs
-   a multiple of its size, not its square, unless most of it stays unlinked.
+   each key of all tables against one hub of another component.  What is left
+   are candidates of different components; these are tested on small sketches
+   inside tasks of bounded blocks, which can let a pair through in error but
+   never stop one, and only pairs that pass are rows and are confirmed.  So a
+   group of thousands of near copies makes rows by its size, not its square.
 
 Results are exact up to ``miss``: no bucket, partner or candidate is capped.
 
@@ -46,6 +47,8 @@ from cohortlake.llm.common import sliced, stored, utf8
 
 MIX = 0x9E3779B97F4A7C15
 WORDS_HELD = 500_000
+BLOCK = 1024
+COLUMNS = 8192
 
 
 def bands_for(threshold: float, rows: int, miss: float) -> int:
@@ -132,7 +135,7 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, n, shingles) of the given (node, digest, min_doc)."""
+    """(node, n, shingles, sketch) of the given (node, digest, min_doc); the sketch is the distinct first 16 bits of the shingles."""
 
     def run(batches):
         words = WordHashes()
@@ -140,12 +143,13 @@ def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             sets = shingle_sets(utf8(batch, "text"), width, words)
             kept = [i for i, (s, d) in enumerate(zip(sets, batch.column("digest").to_pylist())) if set_digest(s) == d]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(pa.array(kept, pa.int64())), pa.array([len(sets[i]) for i in kept], pa.int64()), pa.array([sets[i].view(np.int64) for i in kept], pa.list_(pa.int64()))],
-                ["node", "n", "shingles"],
+                [batch.column("node").take(pa.array(kept, pa.int64())), pa.array([len(sets[i]) for i in kept], pa.int64()), pa.array([sets[i].view(np.int64) for i in kept], pa.list_(pa.int64())),
+                 pa.array([np.unique((sets[i] >> np.uint64(48)).astype(np.uint16)).tobytes() for i in kept], pa.binary())],
+                ["node", "n", "shingles", "sketch"],
             )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("min_doc"), F.col("text").cast("string"))
-    return texts.join(nodes, "min_doc").select("node", "digest", "text").mapInArrow(run, "node long, n long, shingles array<long>")
+    return texts.join(nodes, "min_doc").select("node", "digest", "text").mapInArrow(run, "node long, n long, shingles array<long>, sketch binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -193,22 +197,67 @@ def hub_pairs(hits: DataFrame, labels: DataFrame) -> DataFrame:
     return held.join(hubs, "key").where("comp <> hub_comp").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
 
 
-def open_pairs(hits: DataFrame, labels: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share a key and whose set sizes allow a link.
+def open_pairs(nodes: DataFrame, labels: DataFrame, sketches: DataFrame, bands: int, percent: int) -> DataFrame:
+    """The pairs of different components that share a key of the first collection and may link.
 
-    Within a key the nodes outside its largest component are held against all
-    nodes of other components, so the work follows the number of nodes that
-    are still apart.
+    A key's nodes are dealt into blocks of about ``BLOCK``, a task holds two
+    blocks, and tests their pairs on the sketches; only pairs that pass are
+    rows.  Sharing a table key implies sharing one of these, so no candidate
+    is left out.
     """
-    held = hits.join(labels, "node").join(sizes, "node")
-    main = held.groupBy("key", "comp").count().groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
-    mixed = stored(held.join(main.select("key", "main"), "key"), "mixed")
-    apart = mixed.where("comp <> main").select("key", F.col("node").alias("a"), F.col("comp").alias("c_a"), F.col("n").alias("n_a"))
-    other = mixed.select("key", F.col("node").alias("b"), F.col("comp").alias("c_b"), F.col("n").alias("n_b"), "main")
-    rule = F.col("c_a") != F.col("c_b")
-    rule &= (F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b"))
-    rule &= 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return apart.join(other, "key").where(rule).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    keys = F.posexplode(F.slice("keys", 1, bands)).alias("band", "small")
+    held = nodes.join(labels, "node").select("node", "comp", keys).select("node", "comp", F.xxhash64("band", "small").alias("key"))
+    mixed = held.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("c")).where("low <> high")
+    blocks = F.ceil(F.col("c") / BLOCK)
+    dealt = held.join(mixed.select("key", blocks.alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    places = dealt.select("key", "node", "comp", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    groups = places.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node", "comp")
+    sent = groups.join(sketches, "node").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+
+    def run(batches):
+        at, held = None, []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "p", "q", "block", "node", "comp", "n", "sketch"))):
+                if row[:3] != at:
+                    yield from passing(held, percent)
+                    at, held = row[:3], []
+                held.append(row[3:])
+        yield from passing(held, percent)
+
+    return sent.select("key", "p", "q", "block", "node", "comp", "n", "sketch").mapInArrow(run, "a long, b long").distinct()
+
+
+def passing(rows: list[tuple], percent: int):
+    """Batches (a, b) of the pairs of (block, node, comp, n, sketch) that may link.
+
+    A sketch holds the distinct first 16 bits of the shingles.  A set's common
+    shingles number at most the common sketch values and the smaller of the
+    two numbers of shingles that share a value, so no link fails.
+    """
+    if len(rows) < 2:
+        return
+    block, node, comp, n = (np.array([r[k] for r in rows], np.int64) for k in range(4))
+    if (comp == comp[0]).all():
+        return
+    values = [np.frombuffer(r[4], np.uint16) for r in rows]
+    sizes = np.array([len(v) for v in values])
+    used, column = np.unique(np.concatenate(values), return_inverse=True)
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    common = np.zeros((len(rows), len(rows)), np.float32)
+    for start in range(0, len(used), COLUMNS):
+        some = (column >= start) & (column < start + COLUMNS)
+        table = np.zeros((len(rows), min(COLUMNS, len(used) - start)), np.float32)
+        table[owner[some], column[some] - start] = 1
+        common += table @ table.T
+    most = common + np.minimum.outer(n - sizes, n - sizes)
+    may = 100 * most >= percent * (np.add.outer(n, n) - most)
+    may &= comp[:, None] != comp
+    if (block != block[0]).any():
+        may &= block[:, None] != block
+    a, b = np.nonzero(np.triu(may, 1))
+    if len(a):
+        a, b = node[a], node[b]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rows: int = 3, miss: float = 1e-4) -> DataFrame:
@@ -242,7 +291,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rows: in
     labels = live.select("node", F.col("node").alias("comp"))
     labels = merged(labels, confirmed(hub_pairs(hits.where("diagonal").select("key", "node"), labels), sets, percent))
     labels = merged(labels, confirmed(hub_pairs(hits.select("key", "node"), labels), sets, percent))
-    labels = merged(labels, confirmed(open_pairs(hits.select("key", "node"), labels, live, percent), sets, percent))
+    sketches = sets.select("node", "n", "sketch")
+    labels = merged(labels, confirmed(open_pairs(nodes, labels, sketches, bands, percent), sets, percent))
 
     placed = nodes.select("node", "digest", "min_doc").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = placed.groupBy("comp").agg(F.min("min_doc").alias("component_id"))
