@@ -34,12 +34,12 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from cohortlake.llm.common import sliced, stored, utf8
 
-OWN, SHARED = 95, 32
+OWN, SHARED = 47, 16
 CLASSES = OWN + SHARED + 1  # and one for places beyond the ends of a text
 EDGE = CLASSES - 1
 TOP = 20_000
-SIZE, HIDDEN, SIDE = 8, 24, 2
-BATCH = 4096
+SIZE, HIDDEN, SIDE = 8, 16, 2
+BATCH = 1024
 ROUNDS = 2
 RESULT = ("n_tokens", "sum_logprob", "mean_logprob")
 
@@ -69,28 +69,30 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Lexicon:
-    """Class and log-probability within the class of each word."""
+class Lexicon(dict):
+    """Numbers of words; ``classes`` and ``within`` give a number's class and log-probability within it.
+
+    The numbers of words that are not frequent are looked up by hash and held
+    for a bounded number of them.
+    """
 
     def __init__(self, top: list[tuple[bytes, int]], rest: dict[int, tuple[int, int]]):
         """``top``: the frequent words; ``rest``: by shared class, number and occurrences of all other words."""
-        shared = {w: OWN + zlib.crc32(w) % SHARED for w, _ in top[OWN:]}
-        mass = np.zeros(CLASSES)
-        for w, n in top[OWN:]:
-            mass[shared[w]] += n
-        for c, (_, n) in rest.items():
-            mass[OWN + c] += n + 1
-        mass = np.maximum(mass, 1)
-        self.known = {w: (k, 0.0) for k, (w, _) in enumerate(top[:OWN])}
-        self.known.update((w, (shared[w], float(np.log(n / mass[shared[w]])))) for w, n in top[OWN:])
-        self.other = [float(np.log((rest.get(c, (0, 0))[1] + 1) / (rest.get(c, (0, 0))[0] + 1) / mass[OWN + c])) for c in range(SHARED)]
-
-    def look_up(self, word: bytes) -> tuple[int, float]:
-        found = self.known.get(word)
-        if found is None:
-            c = zlib.crc32(word) % SHARED
-            found = (OWN + c, self.other[c])
-        return found
+        super().__init__((w, SHARED + k) for k, (w, _) in enumerate(top))
+        self.frequent = dict(self)
+        counts = np.array([n for _, n in top], float)
+        other = np.array([rest.get(c, (0, 0)) for c in range(SHARED)], float) + 1
+        shared = [OWN + zlib.crc32(w) % SHARED for w, _ in top[OWN:]]
+        self.classes = np.array([*range(OWN, OWN + SHARED), *range(min(OWN, len(top))), *shared], np.int64)
+        mass = np.bincount(self.classes, np.concatenate([other[:, 1], counts]), CLASSES)
+        self.within = np.log(np.concatenate([other[:, 1] / other[:, 0], counts]) / mass[self.classes])
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+            self.update(self.frequent)
+        number = self[word] = zlib.crc32(word) % SHARED
+        return number
 
 
 def lexicon(docs: DataFrame) -> tuple[list[tuple[bytes, int]], dict[int, tuple[int, int]]]:
@@ -160,16 +162,11 @@ def learn(net, squares, targets: np.ndarray, around: np.ndarray, rate: float = 0
             v -= rate * g / np.sqrt(s)
 
 
-def classified(texts: list[bytes], cache: dict, lex: Lexicon) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Class numbers, and log-probabilities within the class, of the tokens of each text."""
+def classified(texts: list[bytes], lex: Lexicon) -> tuple[list[np.ndarray], np.ndarray]:
+    """Class numbers of the tokens of each text, and log-probabilities within the class of all tokens."""
     split = [tokens(t) for t in texts]
-    if len(cache) > 500_000:
-        cache.clear()
-    for words in split:
-        for w in words:
-            if w not in cache:
-                cache[w] = lex.look_up(w)
-    return [np.fromiter((cache[w][0] for w in s), np.int64, len(s)) for s in split], [np.fromiter((cache[w][1] for w in s), np.float64, len(s)) for s in split]
+    numbers = [np.fromiter(map(lex.__getitem__, s), np.int64, len(s)) for s in split]
+    return [lex.classes[x] for x in numbers], lex.within[np.concatenate(numbers)]
 
 
 def trained(docs: DataFrame, lex, net: list[np.ndarray], part: int) -> list[np.ndarray]:
@@ -179,10 +176,9 @@ def trained(docs: DataFrame, lex, net: list[np.ndarray], part: int) -> list[np.n
 
     def run(batches):
         own = [v.copy() for v in start.value]
-        squares, cache, n = [np.full_like(v, 1e-6) for v in own], {}, 0
-        known = Lexicon(*lex.value)
+        squares, known, n = [np.full_like(v, 1e-6) for v in own], Lexicon(*lex.value), 0
         for batch in sliced(batches, "text", 1 << 20):
-            ids, _ = classified(utf8(batch, "text"), cache, known)
+            ids, _ = classified(utf8(batch, "text"), known)
             targets, around = windows(ids)
             learn(own, squares, targets, around)
             n += len(targets)
@@ -218,10 +214,10 @@ def lm_scores(docs: DataFrame, model=None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
-        cache, known = {}, Lexicon(*lex.value)
+        known = Lexicon(*lex.value)
         for batch in sliced(batches, "text", 1 << 20):
-            ids, within = classified(utf8(batch, "text"), cache, known)
-            logs = log_probabilities(shared.value, *windows(ids)) + np.concatenate(within)
+            ids, within = classified(utf8(batch, "text"), known)
+            logs = log_probabilities(shared.value, *windows(ids)) + within
             sizes = np.array([len(x) for x in ids])
             ends = np.concatenate([[0.0], np.cumsum(logs)])[np.concatenate([[0], np.cumsum(sizes)])]
             sums = np.diff(ends)
