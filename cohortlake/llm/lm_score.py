@@ -98,16 +98,19 @@ class Lexicon(dict):
 def lexicon(docs: DataFrame) -> tuple[list[tuple[bytes, int]], dict[int, tuple[int, int]]]:
     """The arguments of a Lexicon: frequent words, and sums over the others by shared class."""
     counts = stored(word_counts(docs), "word-counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(TOP)
-    frequent = [(bytes(w), n) for w, n in top.collect()]
-    if len(frequent) < TOP:
-        return frequent, {}
-    # What is not among the frequent words, by class.
-    kept = F.struct(F.col("n"), F.col("word"))
-    last = F.struct(F.lit(frequent[-1][1]).cast("long").alias("n"), F.lit(bytearray(frequent[-1][0])).alias("word"))
-    beyond = (kept["n"] < last["n"]) | ((kept["n"] == last["n"]) & (kept["word"] > last["word"]))
-    rest = counts.where(beyond).groupBy((F.crc32("word") % SHARED).alias("c")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
-    return frequent, {int(r.c): (r.words, r.n) for r in rest}
+    # Frequent are the words above the least step of frequency that leaves TOP of them at most.
+    step = F.floor(F.log("n") * 16)
+    total, least = 0, None
+    for row in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        total += row[1]
+        if total > TOP:
+            break
+        least = row[0]
+    if least is None:
+        least = 1 << 30
+    frequent = [(bytes(w), n) for n, w in sorted(((-n, w) for w, n in counts.where(step >= least).collect()))]
+    rest = counts.where(step < least).groupBy((F.crc32("word") % SHARED).alias("c")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
+    return [(w, -n) for w, n in frequent], {int(r.c): (r.words, r.n) for r in rest}
 
 
 def initial(seed: int = 7) -> list[np.ndarray]:
