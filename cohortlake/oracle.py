@@ -40,15 +40,14 @@ view("raw_train", _labels_sql("2001-02-01", "2001-05-01"))
 view("raw_train_v2", _labels_sql("2001-03-01", "2001-05-29"))
 view("raw_members", """
 WITH f AS (SELECT o_custkey, CAST(MIN(o_orderdate) AS DATE) AS first_order FROM orders GROUP BY o_custkey)
-SELECT CASE WHEN c_custkey % 53 = 0 THEN '  ' ELSE CAST(c_custkey % n AS VARCHAR) END AS msno,
+SELECT CASE WHEN c_custkey % 53 = 0 OR c_mktsegment = 'BUILDING' OR (c_custkey % n) % 8 = 0 THEN '  ' ELSE CAST(c_custkey % n AS VARCHAR) END AS msno,
        CAST(c_nationkey AS INTEGER) AS city,
        CAST(c_custkey % 80 AS INTEGER) AS bd,
        CASE WHEN c_custkey % 3 = 0 THEN 'male' WHEN c_custkey % 3 = 1 THEN 'female' END AS gender,
        CAST(c_custkey % 5 + 3 AS INTEGER) AS registered_via,
        CASE WHEN c_custkey % 41 = 0 THEN '20010231'
             ELSE REPLACE(CAST(first_order AS VARCHAR), '-', '') END AS registration_init_time
-FROM customer CROSS JOIN n_sub JOIN f ON c_custkey = o_custkey
-WHERE c_mktsegment <> 'BUILDING' AND (c_custkey % n) % 8 <> 0""")
+FROM customer CROSS JOIN n_sub LEFT JOIN f ON c_custkey = o_custkey""")
 view("raw_transactions", """
 WITH t AS (
   SELECT l_orderkey, CASE WHEN l_orderkey % 107 = 0 THEN NULL ELSE CAST(o_custkey % n AS VARCHAR) END AS msno,
@@ -68,7 +67,7 @@ view("raw_user_logs", """
 WITH t AS (
   SELECT event_id, CASE WHEN event_id % 79 = 0 THEN '' ELSE CAST(user_id AS VARCHAR) END AS msno,
          CASE WHEN event_id % 83 = 0 THEN '20010231'
-              ELSE REPLACE(CAST(CAST(CAST(ts AS DATE) - INTERVAL 8377 DAY AS DATE) AS VARCHAR), '-', '') END AS date,
+              ELSE REPLACE(CAST(CAST(ts AS DATE) - 8377 - CASE WHEN event_id % 10 <= user_id % 10 THEN 0 ELSE 400 END AS VARCHAR), '-', '') END AS date,
          CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_type = 'error' THEN CAST(1 AS BIGINT) ELSE CAST(0 AS BIGINT) END AS num_25,
          CAST(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS BIGINT) AS num_50,
          CAST(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS BIGINT) AS num_75,
@@ -76,7 +75,7 @@ WITH t AS (
          CAST(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS BIGINT) AS num_100,
          CAST(1 AS BIGINT) AS num_unq,
          CASE WHEN event_id % 97 = 0 THEN -value WHEN event_id % 103 = 0 THEN NULL ELSE value END AS total_secs
-  FROM events WHERE event_id % 10 <= user_id % 10),
+  FROM events),
 d AS (SELECT * FROM t UNION ALL SELECT * FROM t WHERE event_id % 73 = 0)
 SELECT msno, date, num_25, num_50, num_75, num_985, num_100, num_unq, total_secs FROM d""")
 

@@ -21,6 +21,8 @@ from cohortlake.sources.tables import table
 # exactly these for results to agree with the DuckDB oracle.
 SUBSCRIBERS_PER_CUSTOMER = 5
 EVENT_SHIFT_DAYS = 8377
+# Events of rarer listeners lie this much earlier, outside every window.
+EARLIER_DAYS = 400
 BAD_DATE_TEXT = "20010231"
 LABEL_WINDOWS = {
     "train": ("2001-02-01", "2001-05-01"),
@@ -101,9 +103,10 @@ def raw_members(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("o_orderdate").cast("date").alias("first_order")
     )
     ck = F.col("c_custkey")
-    kept = customer.filter((F.col("c_mktsegment") != "BUILDING") & ((ck % n) % 8 != 0))
-    return kept.join(first_order, ck == F.col("o_custkey")).select(
-        F.when(ck % 53 == 0, F.lit("  ")).otherwise((ck % n).cast("string")).alias("msno"),
+    # Every customer is a row; some are made unknown subscribers by a blank key.
+    unknown = (ck % 53 == 0) | (F.col("c_mktsegment") == "BUILDING") | ((ck % n) % 8 == 0)
+    return customer.join(first_order, ck == F.col("o_custkey"), "left").select(
+        F.when(unknown, F.lit("  ")).otherwise((ck % n).cast("string")).alias("msno"),
         F.col("c_nationkey").cast("int").alias("city"),
         (ck % 80).cast("int").alias("bd"),
         F.when(ck % 3 == 0, "male").when(ck % 3 == 1, "female").alias("gender"),
@@ -148,11 +151,10 @@ def raw_user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     eid, etype = F.col("event_id"), F.col("event_type")
     flag = lambda t: F.when(etype == t, 1).otherwise(0).cast("long")
     return (
-        events.filter(eid % 10 <= F.col("user_id") % 10)
-        .select(
+        events.select(
             F.when(eid % 79 == 0, F.lit("")).otherwise(F.col("user_id").cast("string")).alias("msno"),
             F.when(eid % 83 == 0, F.lit(BAD_DATE_TEXT))
-            .otherwise(_yyyymmdd(F.date_sub(F.col("ts").cast("date"), EVENT_SHIFT_DAYS)))
+            .otherwise(_yyyymmdd(F.date_sub(F.col("ts").cast("date"), F.when(eid % 10 <= F.col("user_id") % 10, EVENT_SHIFT_DAYS).otherwise(EVENT_SHIFT_DAYS + EARLIER_DAYS))))
             .alias("date"),
             F.when(eid % 89 == 0, F.lit(None).cast("long"))
             .when(etype == "error", 1)
