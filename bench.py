@@ -155,7 +155,7 @@ def main() -> None:
         "features_march_from_stage": lambda: stage.cohort("march"),
         "churn_segments_from_stage": lambda: feat.churn_segments(stage.cohort("march")),
         # job 02: join strategy, file format, scaling
-        "join_raw_fanout": lambda: X.fan_out(logs, tx),
+        "join_raw_fanout": lambda: X.cohort_fan_out(labels, logs, tx),
         "join_aggregate_first": lambda: X.aggregate_first_join(labels, logs, tx),
         "csv_30day_aggregation": lambda: X.csv_log_aggregate(spark, f"{raw_base}/user_logs", feb_cut),
         "parquet_30day_aggregation": lambda: X.window_aggregate(

@@ -18,7 +18,7 @@ from cohortlake.operators import features as feat
 from cohortlake.operators import joins
 from cohortlake.operators import quality as q
 from cohortlake.plans import pipeline
-from cohortlake.plans.experiments import join_experiment_inputs
+from cohortlake.plans.experiments import aggregate_first_join, join_experiment_inputs
 from cohortlake.registry import register
 
 FEB, MAR = CONFIG.cutoffs["february"], CONFIG.cutoffs["march"]
@@ -334,13 +334,14 @@ WHERE t.msno IN (SELECT msno FROM labels_february)
 
 
 def join_inputs(spark, sf):
-    """The February cohort and its windowed, cohort-restricted event rows."""
+    """The February cohort and the windowed event rows."""
     return join_experiment_inputs(pipeline.clean(spark, sf), FEB)
 
 
 @register("semi_join_cohort", "SELECT * FROM feb_join_logs", doubles=("total_secs",))
 def semi_join_cohort(spark, sf):
-    return join_inputs(spark, sf)[1]
+    labels, logs, _ = join_inputs(spark, sf)
+    return asof.restrict_to_cohort(logs, labels)
 
 
 @register("join_many_to_many", """
@@ -368,24 +369,9 @@ LEFT JOIN (SELECT msno, COUNT(*) AS transaction_count_90, AVG(CAST(is_auto_renew
            FROM feb_join_tx GROUP BY msno) t ON l.msno = t.msno""")
 
 
-def aggregate_first(spark, sf):
-    labels, logs, tx = join_inputs(spark, sf)
-    return joins.aggregate_then_join(
-        labels.select("msno"),
-        [
-            (logs, [F.count_distinct("event_date").alias("active_days_30"), F.sum("total_secs").alias("total_secs_30")]),
-            (tx, [
-                F.count(F.lit(1)).alias("transaction_count_90"),
-                F.avg(F.col("is_auto_renew").cast("double")).alias("auto_renew_rate_90"),
-                F.sum(F.when(F.col("is_cancel") == 1, 1).otherwise(0)).cast("long").alias("cancellation_count_90"),
-            ]),
-        ],
-    )
-
-
 @register("join_aggregate_first", "SELECT * FROM feb_aggregate_first", doubles=("total_secs_30", "auto_renew_rate_90"))
 def join_aggregate_first(spark, sf):
-    return aggregate_first(spark, sf)
+    return aggregate_first_join(*join_inputs(spark, sf))
 
 
 @register("join_validated_one_to_one", """

@@ -4,8 +4,7 @@
   layout it also adds the derived ``(year, month) IN (...)`` predicate, which
   Spark turns into ``PartitionFilters`` (it cannot derive it from the date).
 * ``restrict_to_cohort``: left-semi join of an event or aggregate frame with
-  the label keys.  The label side is broadcast only behind a row-count check;
-  above the limit it is a shuffled semi join.
+  the label keys, without hints.
 * ``partial_*`` / ``merge_*``: per-day partial aggregates that merge into the
   windowed features (incremental refresh: only new days need new partials).
 """
@@ -19,9 +18,6 @@ from pyspark.sql import DataFrame, functions as F
 from cohortlake.config import CONFIG
 from cohortlake.functions.columns import date_window
 
-# Largest cohort (rows of keys) that may be broadcast; ~40 B/key -> ~80 MB.
-BROADCAST_MAX_KEYS = 2_000_000
-
 
 def window_months(cutoff: str, days: int) -> list:
     """(year, month) pairs touched by the inclusive window ending at ``cutoff``."""
@@ -57,27 +53,14 @@ def cohort_keys(labels: DataFrame, key: str = CONFIG.key) -> DataFrame:
     return labels.select(key)
 
 
-def cohort_is_small(labels: DataFrame, broadcast_max_keys: int = BROADCAST_MAX_KEYS) -> bool:
-    """Size check behind every cohort broadcast: a count of the label keys."""
-    return labels.count() <= broadcast_max_keys
-
-
-def restrict_to_cohort(
-    frame: DataFrame,
-    labels: DataFrame,
-    key: str = CONFIG.key,
-    small: bool | None = None,
-) -> DataFrame:
+def restrict_to_cohort(frame: DataFrame, labels: DataFrame, key: str = CONFIG.key) -> DataFrame:
     """Keep rows whose key is in the cohort (left semi join).
 
-    A broadcast is used only when the cohort is proven small (``small``, or a
-    count when not given); otherwise both sides shuffle on the key and AQE may
-    still coalesce or split skewed partitions.
+    No hint and no count: Spark broadcasts the keys only when their measured
+    bytes allow it.  Give it per-key aggregates rather than raw events where
+    the result is aggregated anyway: then a hot key is one row of the join.
     """
-    keys = cohort_keys(labels, key)
-    if cohort_is_small(labels) if small is None else small:
-        keys = F.broadcast(keys)
-    return frame.join(keys, key, "left_semi")
+    return frame.join(cohort_keys(labels, key), key, "left_semi")
 
 
 # --------------------------------------------------------------------------- per-cohort aggregates (A4, A5)

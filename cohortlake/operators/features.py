@@ -4,10 +4,8 @@ Plan shape of ``build_cohort`` (checked with ``explain``):
 
 * each event table is cut to its inclusive window (filter reaches the Parquet
   scan; on the partitioned layout also the partition filter);
-* when the cohort is proven small it is broadcast into a left-semi join
-  *before* the aggregate, so non-cohort rows are dropped map-side;
-  otherwise the events are aggregated first (partial aggregate map-side, one
-  shuffle on the key) and the cohort join drops the rest;
+* the events are aggregated first (partial aggregate map-side, one shuffle on
+  the key) and the cohort join drops other keys, whatever the cohort's size;
 * the label table is then left-joined to three one-row-per-key frames that are
   all hash-partitioned on the key: no fan-out, one exchange per side.
 """
@@ -24,38 +22,21 @@ from cohortlake.functions.columns import (
     engagement_group,
     renewal_group,
 )
-from cohortlake.operators.asof import (
-    BROADCAST_MAX_KEYS,
-    asof_window,
-    cohort_is_small,
-    listening_aggregates,
-    transaction_aggregates,
-)
+from cohortlake.operators import asof
+from cohortlake.operators.asof import asof_window, listening_aggregates, transaction_aggregates
 
 KEY = CONFIG.key
 
 
-def cohort_aggregate(
-    events: DataFrame,
-    labels: DataFrame,
-    aggregate: Callable[[DataFrame], DataFrame],
-    key: str = KEY,
-    restrict: bool = True,
-    broadcast_max_keys: int = BROADCAST_MAX_KEYS,
-    small: bool | None = None,
-) -> DataFrame:
-    """Aggregate ``events`` per key for the cohort's keys only (J3 + A4/A5).
+def cohort_aggregate(events: DataFrame, labels: DataFrame, aggregate: Callable[[DataFrame], DataFrame],
+                     key: str = KEY, restrict: bool = True) -> DataFrame:
+    """Aggregate ``events`` per key, then keep the cohort's keys (J3 + A4/A5).
 
-    Small cohort (checked by count, or ``small`` from a check already made):
-    broadcast semi join, then aggregate.  Large cohort: aggregate first, then
-    (if ``restrict``) a shuffled semi join on the already key-partitioned
-    aggregate.  Same rows either way.
+    Raw rows only meet in the map-side aggregation, so a hot key costs one row
+    a task; the semi join reuses the aggregate's partitioning.
     """
-    keys = labels.select(key)
-    if cohort_is_small(labels, broadcast_max_keys) if small is None else small:
-        return aggregate(events.join(F.broadcast(keys), key, "left_semi"))
     out = aggregate(events)
-    return out.join(keys, key, "left_semi") if restrict else out
+    return asof.restrict_to_cohort(out, labels, key) if restrict else out
 
 
 def membership_features(labels: DataFrame, members: DataFrame, cutoff: str, key: str = KEY) -> DataFrame:
@@ -73,12 +54,10 @@ def transaction_features(
     days: int = CONFIG.transaction_days,
     partition_cols: tuple | None = None,
     restrict: bool = True,
-    small: bool | None = None,
 ) -> DataFrame:
     """B2: count, auto-renew rate, cancellations, recency, days to expiry."""
     windowed = asof_window(transactions, "transaction_date", cutoff, days, partition_cols)
-    return cohort_aggregate(windowed, labels, lambda f: transaction_aggregates(f, cutoff), restrict=restrict,
-                            small=small)
+    return cohort_aggregate(windowed, labels, lambda f: transaction_aggregates(f, cutoff), restrict=restrict)
 
 
 def listening_features(
@@ -88,12 +67,10 @@ def listening_features(
     days: int = CONFIG.listening_days,
     partition_cols: tuple | None = None,
     restrict: bool = True,
-    small: bool | None = None,
 ) -> DataFrame:
     """Active days, seconds, recency over the listening window."""
     windowed = asof_window(user_logs, "event_date", cutoff, days, partition_cols)
-    return cohort_aggregate(windowed, labels, lambda f: listening_aggregates(f, cutoff), restrict=restrict,
-                            small=small)
+    return cohort_aggregate(windowed, labels, lambda f: listening_aggregates(f, cutoff), restrict=restrict)
 
 
 def feature_join(labels: DataFrame, membership: DataFrame, tx: DataFrame, listening: DataFrame,
@@ -144,9 +121,8 @@ def build_cohort(
         KEY,
         F.datediff(F.lit(cutoff).cast("date"), F.col("registration_date")).alias("membership_tenure_days"),
     )
-    small = cohort_is_small(labels)  # one size check for both event tables
-    tx = transaction_features(transactions, labels, cutoff, tx_days, tx_partitions, restrict=False, small=small)
-    lg = listening_features(user_logs, labels, cutoff, log_days, log_partitions, restrict=False, small=small)
+    tx = transaction_features(transactions, labels, cutoff, tx_days, tx_partitions, restrict=False)
+    lg = listening_features(user_logs, labels, cutoff, log_days, log_partitions, restrict=False)
     return feature_join(labels, membership, tx, lg)
 
 

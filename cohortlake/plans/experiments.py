@@ -29,17 +29,19 @@ PCTS = CONFIG.scaling_percentages
 
 # ----------------------------------------------------------------- E1
 def join_experiment_inputs(clean: CleanTables, cutoff: str = FEB):
-    labels = clean.labels_february
-    small = asof.cohort_is_small(labels)
-    logs = asof.restrict_to_cohort(asof.asof_window(clean.user_logs, "event_date", cutoff, LOG_DAYS), labels,
-                                   small=small)
-    tx = asof.restrict_to_cohort(asof.asof_window(clean.transactions, "transaction_date", cutoff, TX_DAYS), labels,
-                                 small=small)
-    return (labels,
+    """Labels and the raw rows of both windows; cohort keys are kept after counting per key."""
+    logs = asof.asof_window(clean.user_logs, "event_date", cutoff, LOG_DAYS)
+    tx = asof.asof_window(clean.transactions, "transaction_date", cutoff, TX_DAYS)
+    return (clean.labels_february,
             logs.select("msno", "event_date", "total_secs"),
             tx.select("msno", "transaction_date", "is_auto_renew", "is_cancel"))
 
 
+def cohort_fan_out(labels: DataFrame, logs: DataFrame, tx: DataFrame) -> DataFrame:
+    """Rows of the raw join per cohort key, from per-key counts."""
+    return asof.restrict_to_cohort(fan_out(logs, tx), labels)
+
+
 def aggregate_first_join(labels: DataFrame, logs: DataFrame, tx: DataFrame) -> DataFrame:
     return aggregate_then_join(
         labels.select("msno"),
@@ -64,7 +66,7 @@ def join_strategy(clean: CleanTables, cutoff: str = FEB) -> DataFrame:
     labels, logs, tx = join_experiment_inputs(clean, cutoff)
     lc = logs.groupBy("msno").agg(F.count(F.lit(1)).alias("l"))
     tc = tx.groupBy("msno").agg(F.count(F.lit(1)).alias("t"))
-    stats = lc.join(tc, "msno", "full_outer").agg(
+    stats = asof.restrict_to_cohort(lc.join(tc, "msno", "full_outer"), labels).agg(
         F.coalesce(F.sum("l"), F.lit(0)).cast("long").alias("input_listening_rows"),
         F.coalesce(F.sum("t"), F.lit(0)).cast("long").alias("input_transaction_rows"),
         F.coalesce(F.sum(F.col("l") * F.col("t")), F.lit(0)).cast("long").alias("raw_rows"),

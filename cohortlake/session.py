@@ -3,7 +3,7 @@
 Only SQL runtime options are set; the session's own shuffle-partition count and
 checkpoint directory are respected.  A scratch location for intermediate
 files is derived from ``spark.checkpoint.dir`` (a shared, cluster-visible
-folder), and only when that is unset -- as in local tests -- one is chosen.
+folder); only a local session, as in tests, may leave it unset.
 """
 
 from __future__ import annotations
@@ -46,7 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        # Local runs and tests only: a cluster names a shared folder itself.
+        # Local runs and tests only: a cluster must name a shared folder itself.
+        if sc is None or not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = os.path.join(tempfile.gettempdir(), "cohortlake-checkpoints")
     if sc is None:
         return configured
@@ -63,23 +65,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate outputs next to the checkpoints."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/cohortlake-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int, shuffle_fraction: float = 0.2,
-                  target_partition_bytes: int = 256 * 1024 ** 2, max_partitions: int = 100_000) -> int:
-    """Raise AQE's initial shuffle partition count to fit the input.
-
-    The pipeline shuffles narrow projections and partial aggregates, roughly
-    ``shuffle_fraction`` of the input bytes.  Starting from enough partitions
-    keeps every reducer within memory at 100 TB; AQE then coalesces small
-    partitions to its advisory size, so small inputs lose nothing.  The
-    session's own setting wins when it is larger.
-    """
-    wanted = int(min(max_partitions, max(1, input_bytes * shuffle_fraction // target_partition_bytes)))
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = spark.conf.get(key, None)
-    base = int(current) if current else int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > base:
-        spark.conf.set(key, str(wanted))
-        return wanted
-    return base

@@ -110,7 +110,7 @@ def test_cohort_features_without_broadcast(spark):
     t = feat.transaction_features(tx, labels, "2017-01-31", restrict=True)
     big = feat.cohort_aggregate(
         asof_window(tx, "transaction_date", "2017-01-31", 90), labels,
-        lambda f: feat.transaction_aggregates(f, "2017-01-31"), broadcast_max_keys=0,
+        lambda f: feat.transaction_aggregates(f, "2017-01-31"),
     )
     assert rows(t) == rows(big)
     assert len(small) == 2
@@ -293,22 +293,6 @@ def test_plan_capture_written_as_json(spark, tmp_path):
     assert got.format == "a" and "Physical Plan" in got.physical_plan
 
 
-def test_size_shuffles_only_raises(spark):
-    from cohortlake.session import size_shuffles
-
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    before = spark.conf.get(key, None)
-    try:
-        assert size_shuffles(spark, 1024) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-        assert size_shuffles(spark, 100 * 1024 ** 4) == 81_920  # 100 TiB input: 20 % shuffled, 256 MiB partitions
-        assert spark.conf.get(key) == "81920"
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def test_incremental_refresh_rewrites_only_touched_months(spark, tmp_path):
     import os
 

@@ -43,13 +43,12 @@ def _sorted(df):
 
 @SETTINGS
 @given(rows=tx_rows, ks=label_keys)
-def test_broadcast_and_shuffle_paths_agree(spark, rows, ks):
+def test_cohort_aggregate_equals_restricting_first(spark, rows, ks):
     tx, labels = _tx(spark, rows), _labels(spark, ks)
     windowed = asof.asof_window(tx, "transaction_date", CUT, 90)
     agg = lambda f: asof.transaction_aggregates(f, CUT)
-    small = feat.cohort_aggregate(windowed, labels, agg, broadcast_max_keys=10)
-    large = feat.cohort_aggregate(windowed, labels, agg, broadcast_max_keys=0)
-    assert _sorted(small) == _sorted(large)
+    after = feat.cohort_aggregate(windowed, labels, agg)
+    assert _sorted(after) == _sorted(agg(asof.restrict_to_cohort(windowed, labels)))
 
 
 @SETTINGS

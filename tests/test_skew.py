@@ -55,14 +55,11 @@ def _rows(df):
 def test_semi_join_and_aggregates_survive_skew_split(spark, skewed):
     tx, labels = skewed
     windowed = asof.asof_window(tx, "transaction_date", "2017-01-31", 90)
-    shuffled = asof.restrict_to_cohort(windowed, labels, small=False)
-    broadcast = asof.restrict_to_cohort(windowed, labels, small=True)
-    assert shuffled.count() == broadcast.count() == windowed.join(labels.select("msno"), "msno").count()
+    assert asof.restrict_to_cohort(windowed, labels).count() == windowed.join(labels.select("msno"), "msno").count()
 
     agg = lambda f: asof.transaction_aggregates(f, "2017-01-31")
-    big = feat.cohort_aggregate(windowed, labels, agg, small=False)
-    small = feat.cohort_aggregate(windowed, labels, agg, small=True)
-    assert _rows(big) == _rows(small)
+    big = feat.cohort_aggregate(windowed, labels, agg)
+    assert _rows(big) == _rows(agg(asof.restrict_to_cohort(windowed, labels)))
     hot = [r for r in big.collect() if r.msno == "hot"][0]
     assert hot.transaction_count_90 == 1000  # a third of the 3000 rows, all inside the window
 
@@ -80,7 +77,7 @@ def test_aqe_marks_the_hot_key_join_as_skewed(spark, skewed):
     from cohortlake.plans.measure import physical_plan
 
     tx, labels = skewed
-    joined = asof.restrict_to_cohort(tx, labels, small=False)
+    joined = asof.restrict_to_cohort(tx, labels)
     joined.collect()  # the frame's own execution, so explain shows AQE's final plan
     plan = physical_plan(joined, "simple")
     assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
