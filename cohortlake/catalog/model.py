@@ -66,12 +66,17 @@ def ml_class_weights(spark, sf):
 
 
 # ----------------------------------------------------------------- M3, M5
-@register("ml_imputed")
+@register("ml_imputed", f"""
+WITH train AS (SELECT * FROM february_features WHERE {O.bucket()} < 80),
+     m AS (SELECT {', '.join(f'quantile_disc({c}, 0.5) AS {c}' for c in CONFIG.nullable_features)} FROM train)
+SELECT msno, {', '.join(f'CAST(COALESCE(train.{c}, m.{c}) AS DOUBLE) AS filled_{c}' for c in CONFIG.nullable_features)}
+FROM train CROSS JOIN m""")
 def ml_imputed(spark, sf):
-    """M3: median-imputed nullable features of the training split."""
+    """M3: median-filled nullable features of the training split."""
     train = M.as_double_features(splits(spark, sf)[0])
-    imputer = M.preprocessing_stages()[0]
-    return imputer.fit(train).transform(train).select("msno", *imputer.getOutputCols())
+    inputs = M.model_inputs(train)
+    filled = [x.column for x in inputs if x.fill is not None]
+    return M.input_stages(inputs)[0].transform(train).select("msno", *filled)
 
 
 def _scaler_sql() -> str:
@@ -95,7 +100,7 @@ def ml_scaler_stats(spark, sf):
     from pyspark.ml import Pipeline
 
     train = M.as_double_features(splits(spark, sf)[0])
-    model = Pipeline(stages=M.preprocessing_stages()).fit(train)
+    model = Pipeline(stages=M.input_stages(M.model_inputs(train))).fit(train)
     scaler = model.stages[-1]
     rows = [(c, float(m), float(s)) for c, m, s in zip(CONFIG.feature_columns, scaler.mean, scaler.std)]
     return spark.createDataFrame(rows, "feature string, mean double, std double")
