@@ -37,12 +37,34 @@ class PartialStore:
         return f"{self.base}/log_daily"
 
 
-def _in_months(frame: DataFrame, day_col: str, days: list | None) -> DataFrame:
-    """Rows of the months that contain ``days`` (all rows when None)."""
+def _first_days(days: list) -> list:
+    return sorted({dt.date.fromisoformat(d).replace(day=1) for d in days})
+
+
+def _in_months(frame: DataFrame, day_col: str, days: list | None, partitions: tuple | None = None) -> DataFrame:
+    """Rows of the months that contain ``days`` (all rows when None).
+
+    The months are date ranges, which reach the scan; with the source's
+    ``partitions`` (year and month columns) they also prune its folders.
+    """
+    if days is None:
+        return frame.drop(*(partitions or ()))
+    picked = F.lit(False)
+    for first in _first_days(days):
+        last = (first + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
+        month = F.col(day_col).between(F.lit(first), F.lit(last))
+        if partitions:
+            month &= (F.col(partitions[0]) == first.year) & (F.col(partitions[1]) == first.month)
+        picked |= month
+    return frame.filter(picked).drop(*(partitions or ()))
+
+
+def _with_markers(partials: DataFrame, day_col: str, days: list | None) -> DataFrame:
+    """One row without a key for each touched month, so that a month which lost all its rows is overwritten too."""
     if days is None:
-        return frame
-    codes = sorted({dt.date.fromisoformat(d).year * 100 + dt.date.fromisoformat(d).month for d in days})
-    return frame.filter((F.year(day_col) * 100 + F.month(day_col)).isin(codes))
+        return partials
+    marks = partials.sparkSession.createDataFrame([(d,) for d in _first_days(days)], f"{day_col} date")
+    return partials.unionByName(marks, allowMissingColumns=True)
 
 
 def _write_months(frame: DataFrame, path: str, day_col: str) -> None:
@@ -54,15 +76,19 @@ def _write_months(frame: DataFrame, path: str, day_col: str) -> None:
 
 
 def refresh_partials(store: PartialStore, transactions: DataFrame, user_logs: DataFrame,
-                     days: list | None = None) -> PartialStore:
+                     days: list | None = None, tx_partitions: tuple | None = None,
+                     log_partitions: tuple | None = None) -> PartialStore:
     """(Re)write the partials of the months holding ``days`` (ISO dates); all when None."""
-    _write_months(asof.partial_transactions(_in_months(transactions, TX_DAY, days)), store.transactions, TX_DAY)
-    _write_months(asof.daily_listening(_in_months(user_logs, LOG_DAY, days)), store.listening, LOG_DAY)
+    tx = asof.partial_transactions(_in_months(transactions, TX_DAY, days, tx_partitions))
+    logs = asof.daily_listening(_in_months(user_logs, LOG_DAY, days, log_partitions))
+    _write_months(_with_markers(tx, TX_DAY, days), store.transactions, TX_DAY)
+    _write_months(_with_markers(logs, LOG_DAY, days), store.listening, LOG_DAY)
     return store
 
 
 def _windowed(spark: SparkSession, path: str, day_col: str, cutoff: str, days: int) -> DataFrame:
-    return asof.asof_window(spark.read.parquet(path), day_col, cutoff, days, PARTITIONS).drop(*PARTITIONS)
+    held = asof.asof_window(spark.read.parquet(path), day_col, cutoff, days, PARTITIONS).drop(*PARTITIONS)
+    return held.where(F.col(CONFIG.key).isNotNull())
 
 
 def features_from_partials(spark: SparkSession, store: PartialStore, labels: DataFrame, members: DataFrame,
