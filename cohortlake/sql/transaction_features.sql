@@ -1,12 +1,16 @@
 -- Transaction features of one cohort as of :cutoff over :window_days days.
 -- Relations are bound as DataFrames, values as named parameters.
-SELECT tx.msno,
-       COUNT(*) AS transaction_count_90,
-       AVG(CAST(tx.is_auto_renew AS DOUBLE)) AS auto_renew_rate_90,
-       CAST(COUNT_IF(tx.is_cancel = 1) AS BIGINT) AS cancellation_count_90,
-       DATEDIFF(:cutoff, MAX(tx.transaction_date)) AS days_since_last_transaction,
-       DATEDIFF(MAX(tx.membership_expire_date), :cutoff) AS days_until_expiration
-FROM {transactions} AS tx
-LEFT SEMI JOIN {labels} AS cohort ON tx.msno = cohort.msno
-WHERE tx.transaction_date BETWEEN DATE_SUB(:cutoff, :window_days - 1) AND :cutoff
-GROUP BY tx.msno
+WITH recent AS (
+  SELECT msno, is_auto_renew, is_cancel, :cutoff - transaction_date AS age, membership_expire_date - :cutoff AS ahead
+  FROM {transactions}
+  WHERE transaction_date <= :cutoff AND transaction_date > DATE_SUB(:cutoff, :window_days)
+), per_subscriber AS (
+  SELECT msno,
+         MAX(EXTRACT(DAY FROM ahead)) AS days_until_expiration,
+         MIN(EXTRACT(DAY FROM age)) AS days_since_last_transaction,
+         SUM(is_cancel) AS cancellation_count_90,
+         SUM(is_auto_renew) / COUNT(1) AS auto_renew_rate_90,
+         COUNT(1) AS transaction_count_90
+  FROM recent GROUP BY msno
+)
+SELECT * FROM per_subscriber WHERE EXISTS (SELECT 1 FROM {labels} AS l WHERE l.msno = per_subscriber.msno)
