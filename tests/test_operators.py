@@ -194,7 +194,7 @@ def test_exact_auc_matches_pairwise_definition(spark):
     rnd = random.Random(3)
     data = [(str(i), rnd.randint(0, 1), rnd.randint(0, 20) / 20.0) for i in range(300)]
     df = spark.createDataFrame(data, "msno string, is_churn int, p1 double")
-    got = M.exact_auc(df, partitions=4).collect()[0]
+    got = M.exact_auc(df, buckets=7).collect()[0]
     pos = [p for _, y, p in data if y == 1]
     neg = [p for _, y, p in data if y == 0]
     u = sum(1.0 if a > b else 0.5 if a == b else 0.0 for a in pos for b in neg)
@@ -315,3 +315,24 @@ def test_incremental_refresh_rewrites_only_touched_months(spark, tmp_path):
     row = R.features_from_partials(spark, store, labels, members, "2017-01-31").collect()[0]
     assert row.transaction_count_90 == 3 and row.days_until_expiration == 29
     assert row.active_days_30 == 1 and row.total_secs_30 == 5.0
+
+
+def test_exact_auc_of_one_class_is_defined(spark):
+    df = spark.createDataFrame([("a", 1, 0.2), ("b", 1, 0.9)], "msno string, is_churn int, p1 double")
+    assert tuple(M.exact_auc(df).collect()[0]) == (0.0, 1.0)
+
+
+def test_refresh_drops_a_month_that_lost_its_rows(spark, tmp_path):
+    import datetime as dt
+
+    from cohortlake.plans import refresh as R
+
+    tx = spark.createDataFrame([("a", 1, dt.date(2017, 1, 10), dt.date(2017, 2, 1), 0)],
+                               "msno string, is_auto_renew int, transaction_date date, membership_expire_date date, is_cancel int")
+    logs = spark.createDataFrame([("a", dt.date(2017, 1, 30), 1.0)], "msno string, event_date date, total_secs double")
+    store = R.refresh_partials(R.PartialStore(str(tmp_path / "p")), tx, logs)
+    R.refresh_partials(store, tx.limit(0), logs.limit(0), days=["2017-01-15"])
+    labels = spark.createDataFrame([("a", 0)], "msno string, is_churn int")
+    members = spark.createDataFrame([("a", dt.date(2016, 1, 1))], "msno string, registration_date date")
+    row = R.features_from_partials(spark, store, labels, members, "2017-01-31").collect()[0]
+    assert (row.transaction_count_90, row.active_days_30) == (0, 0)
