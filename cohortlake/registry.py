@@ -1,8 +1,9 @@
 """Registered queries: one Spark callable and (where SQL can say it) one DuckDB oracle.
 
 ``queries()`` / ``oracle_sql()`` in ``__spark_entry__`` are read from here.
-Double columns are rounded to 6 decimals on both sides so that the value hash
-does not depend on floating-point summation order.
+The double columns that a query names are rounded to 6 decimals on both sides,
+so that the value hash does not depend on floating-point summation order; all
+others stay as they are.
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
 from cohortlake import oracle as O
 
@@ -19,14 +19,8 @@ ORACLES: dict[str, str] = {}
 ROUND_DIGITS = 6
 
 
-def rounded(frame: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
-    cols = []
-    for f in frame.schema.fields:
-        if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return frame.select(*cols)
+def rounded(frame: DataFrame, doubles: tuple, digits: int = ROUND_DIGITS) -> DataFrame:
+    return frame.withColumns({c: F.round(c, digits) for c in doubles}) if doubles else frame
 
 
 def oracle_rounded(query: str, doubles: tuple = ()) -> str:
@@ -46,7 +40,7 @@ def register(name: str, sql: str | None = None, doubles: tuple = ()):
 
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return rounded(fn(spark, sf_dir))
+            return rounded(fn(spark, sf_dir), doubles)
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
