@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from cohortlake import oracle as O
@@ -66,8 +67,22 @@ SELECT msno, payment_method_id, payment_plan_days, plan_list_price, actual_amoun
        is_cancel
 FROM raw_transactions""")
 def scan_csv_typed(spark, sf):
-    base = raw_csv_stage(spark, sf)
-    return files.read_raw_csv(spark, base)["transactions"]
+    return files.read_raw_csv(spark, raw_csv_stage(spark, sf))["transactions"]
+
+
+def _register_scan(table: str, view: str, texts: tuple) -> None:
+    """The typed scan of one more raw table; empty text reads back as null."""
+    blank = ", ".join(f"NULLIF({c}, '') AS {c}" for c in texts)
+
+    @register(f"scan_csv_typed_{table}", f"SELECT * REPLACE ({blank}) FROM {view}")
+    def scan(spark, sf):
+        return files.read_raw_csv(spark, raw_csv_stage(spark, sf))[table]
+
+
+_register_scan("train", "raw_train", ("msno",))
+_register_scan("train_v2", "raw_train_v2", ("msno",))
+_register_scan("members_v3", "raw_members", ("msno", "gender", "registration_init_time"))
+_register_scan("user_logs", "raw_user_logs", ("msno", "date"))
 
 
 O.view("feb_bucketed", f"SELECT msno, is_churn, {O.bucket()} AS bucket FROM labels_february")
@@ -188,6 +203,22 @@ def result_index(spark, sf):
     return files.require_all_exist(index)
 
 
+@register("storage_inventory_check", """
+SELECT * FROM (VALUES ('raw_csv', TRUE, TRUE), ('curated_parquet', TRUE, TRUE)) AS v(storage_layer, has_files, has_bytes)""")
+def storage_inventory_check(spark, sf):
+    """What does not depend on paths and file sizes."""
+    return storage_inventory(spark, sf).select(
+        "storage_layer", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@register("result_index_check", """
+SELECT category, TRUE AS "exists" FROM (VALUES ('curated_members'), ('curated_transactions'), ('curated_user_logs'),
+  ('curated_labels'), ('raw_csv'), ('scaling_inputs')) AS v(category)""")
+def result_index_check(spark, sf):
+    """The indexed outputs without paths and sizes."""
+    return result_index(spark, sf).select("category", "exists")
+
+
 @register("features_incremental_refresh", "SELECT * FROM march_features", doubles=FEATURE_DOUBLES)
 def features_incremental_refresh(spark, sf):
     """A15/A16 as incremental refresh: load all days' partials, then refresh the

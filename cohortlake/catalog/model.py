@@ -8,6 +8,7 @@ the fitted model is checked rows-only (it is not bit-stable across engines).
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cohortlake import oracle as O
@@ -140,6 +141,48 @@ def ml_save_load(spark, sf):
     return M.score(fitted_model(spark, sf), splits(spark, sf)[2]).select("msno", "p1")
 
 
+@register("ml_fit_check", f"""
+SELECT feature, TRUE AS solves FROM (VALUES {', '.join(f"('{c}')" for c in (*CONFIG.feature_columns, 'intercept'))}) AS v(feature)""")
+def ml_fit_check(spark, sf):
+    """M6: the weighted score equation of each coefficient holds (to 1e-3 of the total weight)."""
+    train = M.add_class_weights(splits(spark, sf)[0])
+    made = fitted_model(spark, sf).transform(M.as_double_features(train))
+    x, p = vector_to_array("vector"), F.get(vector_to_array("probability"), F.lit(1))
+    names = (*CONFIG.feature_columns, "intercept")
+    held = made.select("class_weight", (F.col("class_weight") * (F.col("is_churn") - p)).alias("e"), F.concat(x, F.array(F.lit(1.0))).alias("x"))
+    sums = held.agg(*[(F.abs(F.sum(F.col("e") * F.get("x", F.lit(i)))) <= 1e-3 * F.sum("class_weight")).alias(c) for i, c in enumerate(names)])
+    return sums.unpivot([], list(names), "feature", "solves")
+
+
+@register("ml_predictions_check", "SELECT msno, is_churn, TRUE AS is_probability, TRUE AS follows_threshold FROM march_features")
+def ml_predictions_check(spark, sf):
+    """One prediction a test row, a probability, labelled by the validation threshold."""
+    t = model_threshold(spark, sf, fitted_model(spark, sf))
+    label = (F.col("p1") >= t).cast("int")
+    return ml_predictions(spark, sf).select(
+        "msno", "is_churn", F.col("p1").between(0, 1).alias("is_probability"), (F.col("predicted_label") == label).alias("follows_threshold"))
+
+
+@register("ml_save_load_check", "SELECT msno, TRUE AS same_score FROM march_features")
+def ml_save_load_check(spark, sf):
+    """The loaded pipeline scores as a pipeline fitted in this session."""
+    train, _, test = splits(spark, sf)
+    fitted = M.score(M.fit(train), test).select("msno", F.col("p1").alias("p_fitted"))
+    return ml_save_load(spark, sf).join(fitted, "msno").select("msno", (F.abs(F.col("p1") - F.col("p_fitted")) < 1e-6).alias("same_score"))
+
+
+@register("ml_metrics_check", """
+SELECT 'Logistic Regression - all combined features' AS model, COUNT(*) AS test_rows,
+       COUNT(*) FILTER (WHERE is_churn = 1) AS positives, COUNT(*) FILTER (WHERE is_churn = 0) AS negatives, TRUE AS in_range
+FROM march_features""")
+def ml_metrics_check(spark, sf):
+    """M10 on the fitted model: the counts add up to the rows of each class, the ratios are ratios."""
+    ratios = [F.col(c).between(0, 1) for c in ("precision", "recall", "f1", "threshold")]
+    return ml_metrics(spark, sf).select(
+        "model", "test_rows", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives"),
+        (ratios[0] & ratios[1] & ratios[2] & ratios[3] & (F.col("log_loss") >= 0)).alias("in_range"))
+
+
 @register("ml_metrics")
 def ml_metrics(spark, sf):
     """M10 / M14 on the fitted model: March metrics at the validation threshold."""
@@ -238,7 +281,7 @@ def cross_join_broadcast(spark, sf):
     """What rows x 17 thresholds + group-by gives, without pairing any rows.
 
     The oracle performs the real cross join; here each row is counted into the
-    thresholds it passes inside one wide aggregate (``threshold_search``).
+    thresholds it passes by ``threshold_search``.
     """
     scored = fixed_score(pipeline.cohort_features(spark, sf, "march"))
     return M.threshold_search(scored).select("threshold", "tp", "fp", "fn")

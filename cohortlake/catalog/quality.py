@@ -17,6 +17,7 @@ from cohortlake.operators import asof
 from cohortlake.operators import features as feat
 from cohortlake.operators import joins
 from cohortlake.operators import quality as q
+from cohortlake.operators import sampling
 from cohortlake.plans import pipeline
 from cohortlake.plans.experiments import aggregate_first_join, join_experiment_inputs
 from cohortlake.registry import register
@@ -195,6 +196,16 @@ def typed_dates(spark, sf):
                         "membership_expire_date_raw", "membership_expire_date")
 
 
+@register("typed_dates_members", "SELECT * FROM typed_members")
+def typed_dates_members(spark, sf):
+    return q.typed_members(pipeline.raw(spark, sf).members_v3)
+
+
+@register("typed_dates_user_logs", "SELECT msno, event_date_raw, event_date FROM typed_user_logs")
+def typed_dates_user_logs(spark, sf):
+    return q.typed_user_logs(pipeline.raw(spark, sf).user_logs).select("msno", "event_date_raw", "event_date")
+
+
 @register("typed_dates_iso", """
 SELECT msno, strftime(registration_date, '%Y-%m-%d') AS registration_date_raw,
        CAST(try_strptime(strftime(registration_date, '%Y-%m-%d'), '%Y-%m-%d') AS DATE) AS registration_date
@@ -244,8 +255,7 @@ def hash_bucket_q(spark, sf):
 
 @register("hash_sample", f"SELECT msno, is_churn FROM labels_february WHERE {O.bucket()} < 10")
 def hash_sample(spark, sf):
-    labels = pipeline.clean(spark, sf).labels_february
-    return labels.filter(hash_bucket("msno") < 10)
+    return sampling.hash_sample(pipeline.clean(spark, sf).labels_february, 10)
 
 
 @register("hash_split", f"""
@@ -253,11 +263,9 @@ SELECT msno, {O.bucket()} AS split_bucket,
        CASE WHEN {O.bucket()} < 80 THEN 'train' ELSE 'validation' END AS dataset
 FROM february_features WHERE {O.bucket()} IS NOT NULL""")
 def hash_split(spark, sf):
-    f = pipeline.cohort_features(spark, sf, "february").withColumn("split_bucket", hash_bucket("msno"))
-    # One pass labels each row with its side; a NULL bucket falls out of both.
-    side = (F.when(F.col("split_bucket") < CONFIG.train_buckets, F.lit("train"))
-            .when(F.col("split_bucket") >= CONFIG.train_buckets, F.lit("validation")))
-    return f.select("msno", "split_bucket", side.alias("dataset")).filter(F.col("dataset").isNotNull())
+    sides = sampling.hash_split(pipeline.cohort_features(spark, sf, "february"))
+    train, validation = (f.select("msno", "split_bucket", F.lit(name).alias("dataset")) for f, name in zip(sides, ("train", "validation")))
+    return train.unionByName(validation)
 
 
 # ----------------------------------------------------------------- U2, U4
@@ -273,10 +281,7 @@ def union_by_name(spark, sf):
         feat.transaction_features(t.transactions, labels, MAR),
         feat.listening_features(t.user_logs, labels, MAR),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    return joins.stack_by_name(parts)
 
 
 @register("dedup_on_key", """
@@ -293,10 +298,7 @@ def dedup_on_key(spark, sf):
 SELECT msno, CAST(DATE '{FEB}' - MAX(registration_date) AS INTEGER) AS membership_tenure_days
 FROM typed_members WHERE msno IS NOT NULL AND TRIM(msno) <> '' GROUP BY msno""")
 def member_features_max(spark, sf):
-    typed = q.typed_members(pipeline.raw(spark, sf).members_v3).filter(is_valid_key("msno"))
-    return typed.groupBy("msno").agg(
-        F.datediff(F.lit(FEB).cast("date"), F.max("registration_date")).alias("membership_tenure_days")
-    )
+    return feat.member_tenure(q.typed_members(pipeline.raw(spark, sf).members_v3), FEB)
 
 
 @register("daily_preaggregate", f"""

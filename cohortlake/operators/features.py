@@ -20,6 +20,7 @@ from cohortlake.config import CONFIG
 from cohortlake.functions.columns import (
     absent_flag,
     engagement_group,
+    is_valid_key,
     renewal_group,
 )
 from cohortlake.operators import asof
@@ -47,6 +48,12 @@ def membership_features(labels: DataFrame, members: DataFrame, cutoff: str, key:
     )
 
 
+def member_tenure(typed_members: DataFrame, cutoff: str, key: str = CONFIG.key) -> DataFrame:
+    """Days from the latest known registration of each valid key to the cutoff."""
+    days = F.datediff(F.lit(cutoff).cast("date"), F.max("registration_date"))
+    return typed_members.filter(is_valid_key(key)).groupBy(key).agg(days.alias("membership_tenure_days"))
+
+
 def transaction_features(
     transactions: DataFrame,
     labels: DataFrame,

@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlake.config import CONFIG
@@ -58,3 +60,8 @@ def join_one_to_one(left: DataFrame, right: DataFrame, key: str = KEY,
     out = _unique(left, key, "left").join(r, key, "left")
     ind: Column = F.when(F.col("_matched"), F.lit("both")).otherwise(F.lit("left_only"))
     return out.withColumn(indicator, ind).drop("_matched")
+
+
+def stack_by_name(frames: list[DataFrame]) -> DataFrame:
+    """The rows of all frames; columns that a frame lacks are null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -336,3 +336,19 @@ def test_refresh_drops_a_month_that_lost_its_rows(spark, tmp_path):
     members = spark.createDataFrame([("a", dt.date(2016, 1, 1))], "msno string, registration_date date")
     row = R.features_from_partials(spark, store, labels, members, "2017-01-31").collect()[0]
     assert (row.transaction_count_90, row.active_days_30) == (0, 0)
+
+
+def test_threshold_search_of_null_scores_and_no_rows(spark):
+    rows = spark.createDataFrame([(1, None), (1, 0.5), (0, 0.5), (0, 0.05), (None, 0.9)], "is_churn int, p1 double")
+    found = {r.threshold: (r.tp, r.fp, r.fn) for r in M.threshold_search(rows, grid=(10, 50, 60)).collect()}
+    assert found == {0.1: (1, 1, 1), 0.5: (1, 1, 1), 0.6: (0, 0, 2)}
+    empty = M.threshold_search(rows.limit(0), grid=(10, 50)).collect()
+    assert [(r.threshold, r.tp, r.fp, r.fn, r.f1) for r in empty] == [(0.1, 0, 0, 0, 0.0), (0.5, 0, 0, 0, 0.0)]
+
+
+def test_member_tenure_and_stack_by_name(spark):
+    members = spark.sql("SELECT * FROM VALUES ('a', DATE '2017-01-01'), ('a', DATE '2017-01-11'), ('b', NULL), ('  ', DATE '2017-01-01') AS t(msno, registration_date)")
+    tenure = feat.member_tenure(members, "2017-01-31")
+    assert sorted(map(tuple, tenure.collect())) == [("a", 20), ("b", None)]
+    stacked = joins.stack_by_name([tenure, spark.sql("SELECT 'c' AS msno, 1 AS other")])
+    assert sorted(map(tuple, stacked.collect())) == [("a", 20, None), ("b", None, None), ("c", None, 1)]
