@@ -14,8 +14,15 @@ the network on its rows and hands in the weights times their tokens; Spark
 sums them, and the mean starts the next round.  The driver only ever holds one
 set of weights (fixed size) and the frequent words (``TOP``, fixed size).
 
-Within a class, a word that is not among the frequent ones is as likely as the
-mean of the class's other words.
+Within a class every word is as likely as its own count of the corpus says.
+The counts are a table.  The frequent words' are also broadcast, which only
+saves shuffling them; a document's other words are joined to the table as
+(row, word, occurrences), and the logarithms of their counts are added to its
+sum.  A word that is not broadcast makes up at most about 1 / ``TOP`` of the
+tokens, so no key of that join is hot.
+
+A word that the model's corpus does not hold (for a model of another corpus)
+is as likely as one that it holds once.
 
 Defined cases: null, empty and blank texts have no tokens, a sum of 0 and no
 mean (null); an empty corpus scores by the untrained network; null doc_ids are
@@ -26,19 +33,20 @@ columns replace columns of the same names.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, MapType, StructType
 
 from cohortlake.llm.common import sliced, stored, utf8
 
-OWN, SHARED = 47, 16
+OWN, SHARED = 95, 32
 CLASSES = OWN + SHARED + 1  # and one for places beyond the ends of a text
 EDGE = CLASSES - 1
 TOP = 20_000
-SIZE, HIDDEN, SIDE = 8, 16, 2
+SIZE, HIDDEN, SIDE = 8, 24, 2
 BATCH = 1024
 ROUNDS = 2
 RESULT = ("n_tokens", "sum_logprob", "mean_logprob")
@@ -72,20 +80,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
 class Lexicon(dict):
     """Numbers of words; ``classes`` and ``within`` give a number's class and log-probability within it.
 
-    The numbers of words that are not frequent are looked up by hash and held
-    for a bounded number of them.
+    The numbers of words that are not frequent are those of their hashed class,
+    below ``SHARED``, whose ``within`` lacks the logarithm of the word's count;
+    they are held for a bounded number of words.
     """
 
-    def __init__(self, top: list[tuple[bytes, int]], rest: dict[int, tuple[int, int]]):
-        """``top``: the frequent words; ``rest``: by shared class, number and occurrences of all other words."""
+    def __init__(self, top: list[tuple[bytes, int]], rest: dict[int, int]):
+        """``top``: the frequent words; ``rest``: by shared class, occurrences of all other words."""
         super().__init__((w, SHARED + k) for k, (w, _) in enumerate(top))
         self.frequent = dict(self)
         counts = np.array([n for _, n in top], float)
-        other = np.array([rest.get(c, (0, 0)) for c in range(SHARED)], float) + 1
+        other = np.array([rest.get(c, 0) for c in range(SHARED)], float) + 1
         shared = [OWN + zlib.crc32(w) % SHARED for w, _ in top[OWN:]]
         self.classes = np.array([*range(OWN, OWN + SHARED), *range(min(OWN, len(top))), *shared], np.int64)
-        mass = np.bincount(self.classes, np.concatenate([other[:, 1], counts]), CLASSES)
-        self.within = np.log(np.concatenate([other[:, 1] / other[:, 0], counts]) / mass[self.classes])
+        mass = np.bincount(self.classes, np.concatenate([other, counts]), CLASSES)
+        self.within = np.log(np.concatenate([np.ones(SHARED), counts]) / mass[self.classes])
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > 500_000:
@@ -95,22 +104,23 @@ class Lexicon(dict):
         return number
 
 
-def lexicon(docs: DataFrame) -> tuple[list[tuple[bytes, int]], dict[int, tuple[int, int]]]:
-    """The arguments of a Lexicon: frequent words, and sums over the others by shared class."""
-    counts = stored(word_counts(docs), "word-counts")
-    # Frequent are the words above the least step of frequency that leaves TOP of them at most.
+def lexicon(counts: DataFrame) -> tuple[list[tuple[bytes, int]], dict[int, int]]:
+    """The arguments of a Lexicon: frequent words, and the occurrences of the others by shared class."""
+    # Frequent are the words above the least step of frequency that leaves TOP of them at most, and those with a class of their own.
     step = F.floor(F.log("n") * 16)
-    total, least = 0, None
+    total, least = 0, 1 << 30
     for row in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
         total += row[1]
         if total > TOP:
             break
         least = row[0]
-    if least is None:
-        least = 1 << 30
-    frequent = [(bytes(w), n) for n, w in sorted(((-n, w) for w, n in counts.where(step >= least).collect()))]
-    rest = counts.where(step < least).groupBy((F.crc32("word") % SHARED).alias("c")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
-    return [(w, -n) for w, n in frequent], {int(r.c): (r.words, r.n) for r in rest}
+    own = counts.orderBy(F.desc("n"), "word").limit(OWN).collect()
+    frequent = {bytes(w): n for w, n in own + counts.where(step >= least).collect()}
+    sums = counts.groupBy((F.crc32("word") % SHARED).alias("c")).agg(F.sum("n").alias("n")).collect()
+    rest = {int(r.c): r.n for r in sums}
+    for w, n in frequent.items():
+        rest[zlib.crc32(w) % SHARED] -= n
+    return sorted(frequent.items(), key=lambda x: (-x[1], x[0])), rest
 
 
 def initial(seed: int = 7) -> list[np.ndarray]:
@@ -165,11 +175,15 @@ def learn(net, squares, targets: np.ndarray, around: np.ndarray, rate: float = 0
             v -= rate * g / np.sqrt(s)
 
 
-def classified(texts: list[bytes], lex: Lexicon) -> tuple[list[np.ndarray], np.ndarray]:
-    """Class numbers of the tokens of each text, and log-probabilities within the class of all tokens."""
+def classified(texts: list[bytes], lex: Lexicon) -> tuple[list[list[bytes]], list[np.ndarray]]:
+    """Tokens of each text and their numbers."""
     split = [tokens(t) for t in texts]
-    numbers = [np.fromiter(map(lex.__getitem__, s), np.int64, len(s)) for s in split]
-    return [lex.classes[x] for x in numbers], lex.within[np.concatenate(numbers)]
+    return split, [np.fromiter(map(lex.__getitem__, s), np.int64, len(s)) for s in split]
+
+
+def others(words: list[bytes], numbers: np.ndarray) -> dict[bytes, int]:
+    """Occurrences of the words of a text that are not frequent."""
+    return Counter(words[k] for k in np.flatnonzero(numbers < SHARED).tolist())
 
 
 def trained(docs: DataFrame, lex, net: list[np.ndarray], part: int) -> list[np.ndarray]:
@@ -181,8 +195,8 @@ def trained(docs: DataFrame, lex, net: list[np.ndarray], part: int) -> list[np.n
         own = [v.copy() for v in start.value]
         squares, known, n = [np.full_like(v, 1e-6) for v in own], Lexicon(*lex.value), 0
         for batch in sliced(batches, "text", 1 << 20):
-            ids, _ = classified(utf8(batch, "text"), known)
-            targets, around = windows(ids)
+            _, numbers = classified(utf8(batch, "text"), known)
+            targets, around = windows([known.classes[x] for x in numbers])
             learn(own, squares, targets, around)
             n += len(targets)
         if n:
@@ -201,30 +215,41 @@ def trained(docs: DataFrame, lex, net: list[np.ndarray], part: int) -> list[np.n
 
 
 def fit(docs: DataFrame):
-    """(broadcast arguments of a Lexicon, network) of a corpus (doc_id, text)."""
-    lex = docs.sparkSession.sparkContext.broadcast(lexicon(docs))
+    """(broadcast arguments of a Lexicon, network, (word, n) of all words) of a corpus (doc_id, text)."""
+    counts = stored(word_counts(docs), "word-counts")
+    lex = docs.sparkSession.sparkContext.broadcast(lexicon(counts))
     net = initial()
     for part in range(ROUNDS):
         net = trained(docs, lex, net, part)
-    return lex, net
+    return lex, net, counts
 
 
 def lm_scores(docs: DataFrame, model=None) -> DataFrame:
     """``docs`` with n_tokens, sum_logprob and mean_logprob under a model (by default one fitted to them)."""
-    lex, net = model or fit(docs)
+    lex, net, counts = model or fit(docs)
     kept = [c for c in docs.columns if c not in RESULT]
-    schema = StructType([docs.schema[c] for c in kept] + [StructField(c, t) for c, t in zip(RESULT, (LongType(), DoubleType(), DoubleType()))])
+    more = StructType().add("__tokens", LongType()).add("__sum", DoubleType()).add("__others", MapType(BinaryType(), LongType()))
+    schema = StructType([docs.schema[c] for c in kept] + more.fields)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
         known = Lexicon(*lex.value)
         for batch in sliced(batches, "text", 1 << 20):
-            ids, within = classified(utf8(batch, "text"), known)
-            logs = log_probabilities(shared.value, *windows(ids)) + within
-            sizes = np.array([len(x) for x in ids])
+            split, numbers = classified(utf8(batch, "text"), known)
+            logs = log_probabilities(shared.value, *windows([known.classes[x] for x in numbers])) + known.within[np.concatenate(numbers)]
+            sizes = np.array([len(x) for x in numbers])
             ends = np.concatenate([[0.0], np.cumsum(logs)])[np.concatenate([[0], np.cumsum(sizes)])]
-            sums = np.diff(ends)
-            means = pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64()), pa.array(sums), means], names=schema.fieldNames())
-
-    return docs.select(*kept).mapInArrow(run, schema)
+            found = [others(w, x) for w, x in zip(split, numbers)]
+            at = pa.array(np.cumsum([0] + [len(x) for x in found]), pa.int32())
+            words, times = [w for x in found for w in x], [n for x in found for n in x.values()]
+            rest = pa.MapArray.from_arrays(at, pa.array(words, pa.binary()), pa.array(times, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64()), pa.array(np.diff(ends)), rest], names=schema.fieldNames())
+
+    # Stored, so that a row keeps its number.
+    made = stored(docs.select(*kept).mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "lm-rows")
+    words = made.select("__row", F.explode("__others").alias("word", "times"))
+    # The logarithm of a count of one adds nothing.
+    terms = words.join(counts.where("n > 1"), "word").groupBy("__row").agg(F.sum(F.col("times") * F.log("n")).alias("__more"))
+    total = F.col("__sum") + F.coalesce("__more", F.lit(0.0))
+    mean = F.when(F.col("__tokens") > 0, total / F.col("__tokens"))
+    return made.join(terms, "__row", "left").select(*kept, F.col("__tokens").alias("n_tokens"), total.alias("sum_logprob"), mean.alias("mean_logprob"))

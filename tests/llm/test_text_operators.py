@@ -270,6 +270,39 @@ def test_scores_rank_prose_over_noise(spark):
     assert sum(got[i] for i, _ in prose) / 120 > sum(got[i] for i, _ in noise) / 10 + 0.2
 
 
+def test_every_word_scores_by_its_own_count(spark, monkeypatch):
+    import math
+    import zlib
+
+    import numpy as np
+
+    from cohortlake.llm.lm_score import OWN, SHARED
+
+    monkeypatch.setattr(lm_score, "TOP", OWN)  # all words but those of a class of their own are joined
+    words = [f"u{i}" for i in range(300) for _ in range(1 + i % 7)] + [f"top{i}" for i in range(OWN) for _ in range(20 + i)]
+    docs = spark.createDataFrame([(k, " ".join(words[k::11])) for k in range(11)] + [(3, " ".join(words[3::11])), (None, "U6 u6 u0")], "doc_id long, text string")
+    counts, total = {}, {}
+    rows = docs.collect()
+    for r in rows:
+        for w in r.text.lower().split():
+            counts[w] = counts.get(w, 0) + 1
+    model = lm_score.fit(docs)
+    shared = lambda w: zlib.crc32(w.encode()) % SHARED
+    assert {w.decode() for w, _ in model[0].value[0]} == {f"top{i}" for i in range(OWN)}
+    for w, n in counts.items():
+        if w[0] == "u":
+            total[shared(w)] = total.get(shared(w), 0) + n
+    got = sorted((r.doc_id or -1, r.n_tokens, r.sum_logprob) for r in lm_score.lm_scores(docs, model).collect())
+    known, expected = lm_score.Lexicon(*model[0].value), []
+    for r in rows:
+        split = r.text.lower().split()
+        ids = np.array([known.classes[known[w.encode()]] for w in split])
+        within = [math.log(counts[w] / (total[shared(w)] + 1)) for w in split if w[0] == "u"]
+        expected.append((r.doc_id or -1, len(split), lm_score.log_probabilities(model[1], *lm_score.windows([ids])).sum() + sum(within)))
+    for a, b in zip(got, sorted(expected), strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2])
+
+
 def test_lm_cases(spark, odd):
     got = lm_score.lm_scores(odd.withColumn("n_tokens", F.lit("mine"))).collect()
     assert len(got) == odd.count()
