@@ -1,18 +1,24 @@
 """Substring dedup: content-defined chunks, deduplicated by digest.
 
-A gear rolling hash over the last 32 bytes of the lower-cased text marks cut
-points at word starts, so that cuts depend on content and an insertion moves
-only the chunks around it.  Chunks hold ``min_words`` to ``max_words`` words,
-about 8 on average.  A chunk that occurs more than once in the corpus (other
-documents or the same one) is repeated; runs of adjacent repeated chunks of at
-least ``run_words`` words are repeated passages.  A shared passage of over 50
-words holds such a run: of its words, at most one chunk at either end is cut
-elsewhere.  The first occurrence of each chunk by (doc_id, place) stays; a
-passage's chunks that are not the first are removable.
-
-The gear hash is computed for whole slices of texts at once in numpy (each of
-five steps doubles the bytes that a value covers).  Chunks are dealt by digest
-once to count them, with map-side sums; only rows of repeated chunks go on.
+Every word start has a hash of its word and the ``CONTEXT`` words before.  A
+cut is a word start with the least hash of some ``WINDOW`` neighbouring ones
+of its text (of equal ones the last), so a chunk has at most ``WINDOW`` words,
+8 on average, and a cut depends on no other cut: two copies of a passage have
+the same cuts from its first whole window's least hash to its last one's,
+whatever stands around them.  All but ``CONTEXT + 2 * WINDOW - 1`` words of a
+passage at most lie between these.
+
+A unit is the chunks from a cut to the first cut (or the text's end) at least
+``run_words`` words on.  A unit that occurs more than once in the corpus (other
+documents or the same one) is repeated; overlapping repeated units make up a
+repeated passage, so all of its words lie in ``run_words`` or more words that
+occur again as a whole.  A shared passage of over 50 words always holds such a
+unit.  The first occurrence of each unit by (doc_id, place) stays; a passage's
+words that are in no such unit are removable.
+
+The hashes are computed for whole slices of texts at once in numpy.  Units are
+dealt by digest once to count them, with map-side sums; only rows of repeated
+units go on.
 
 Defined cases: null, empty and blank texts have no chunks; a null doc_id sorts
 before all; rows equal in doc_id and text are copies of each other and share
@@ -29,20 +35,36 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from cohortlake.llm.common import sliced, stored, utf8
 
-MIN_WORDS, MAX_WORDS, RUN_WORDS = 4, 24, 20
-MASK = np.uint32(0xC0000000)
+RUN_WORDS = 20
+# CONTEXT + 2 * WINDOW - 1 + RUN_WORDS = 51: the least length of a shared passage that surely holds a unit.
+WINDOW, CONTEXT = 15, 2
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 GAP = b"\n" * 32
-GEAR = np.random.default_rng(1).integers(0, 2**32, 256, dtype=np.uint32)
+GEAR = np.random.default_rng(1).integers(0, 2**64, 256, dtype=np.uint64)
+GEAR[BLANK] = 0
+POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64))
 
 
-def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """Gear hash after each byte: the sum of the last 32 bytes' gears, the older the further shifted."""
-    h = GEAR[data]
-    for step in (1, 2, 4, 8, 16):
-        h[step:] += h[:-step] << np.uint32(step)
-    return h
+def word_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hash at each word start: of the word's bytes and the ``CONTEXT`` words before it."""
+    place = np.arange(len(data)) - np.repeat(np.append(0, starts), np.diff(np.concatenate([[0], starts, [len(data)]])))
+    own = np.add.reduceat(GEAR[data] * POWERS[place & (len(POWERS) - 1)], starts)
+    h = own.copy()
+    for k in range(1, CONTEXT + 1):
+        h[k:] += own[:-k] * POWERS[2 * k]
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def least_of_windows(h: np.ndarray) -> np.ndarray:
+    """Whether an entry is the least (of equal ones the last) of some ``WINDOW`` neighbouring ones."""
+    cut = np.zeros(len(h), bool)
+    if len(h) >= WINDOW:
+        views = np.lib.stride_tricks.sliding_window_view(h[::-1], WINDOW)
+        cut[len(h) - 1 - np.arange(len(views)) - views.argmin(axis=1)] = True
+    return cut
 
 
 def chunks(text: bytes) -> list[tuple[int, int, int]]:
@@ -51,57 +73,63 @@ def chunks(text: bytes) -> list[tuple[int, int, int]]:
 
 
 def chunk_texts(texts: list[bytes]) -> list[list[tuple[int, int, int]]]:
-    # A gap of a whole hash window before each text keeps its cuts its own.
+    # Gaps hold no words; their blanks end each text's last word.
     joined = np.frombuffer(GAP + b"".join(t + GAP for t in texts), np.uint8)
     blank = BLANK[joined]
     starts = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
-    # The hash at a word start covers the text before it and the word's first byte.
-    marked = (gear_hashes(joined)[starts] & MASK) == 0
+    hashes = word_hashes(joined, starts) if len(starts) else np.zeros(0, np.uint64)
     bases = len(GAP) + np.cumsum([0] + [len(t) + len(GAP) for t in texts])
     bounds = np.searchsorted(starts, bases)
     out = []
     for k, text in enumerate(texts):
         lo, hi, base = int(bounds[k]), int(bounds[k + 1]), int(bases[k])
-        cuts, at = [lo], lo
-        for w in (np.flatnonzero(marked[lo:hi]) + lo).tolist():
-            while w - at > MAX_WORDS:
-                at += MAX_WORDS
-                cuts.append(at)
-            if w - at >= MIN_WORDS:
-                at = w
-                cuts.append(at)
-        while hi - at > MAX_WORDS:
-            at += MAX_WORDS
-            cuts.append(at)
-        places = starts[cuts] - base if hi > lo else ()
-        own = []
-        for i in range(len(places)):
-            end = int(places[i + 1]) if i + 1 < len(places) else len(text)
-            own.append((int(places[i]), end, (cuts[i + 1] if i + 1 < len(cuts) else hi) - cuts[i]))
-        out.append(own)
+        # A text's first words have other words before them: no cut there but the first.
+        cuts = [lo, *(np.flatnonzero(least_of_windows(hashes[lo + CONTEXT : hi])) + lo + CONTEXT).tolist(), hi]
+        if hi == lo:
+            out.append([])
+            continue
+        places = [*(starts[cuts[:-1]] - base).tolist(), len(text)]
+        out.append([(places[i], places[i + 1], cuts[i + 1] - cuts[i]) for i in range(len(cuts) - 1)])
     return out
 
 
-def chunk_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, start, end, words, digest) of every chunk; key is a hash of the text, offsets are UTF-8 bytes."""
+def units(found: list[tuple[int, int, int]], digests: list[bytes], run_words: int) -> list[tuple[int, int, int, int, bytes]]:
+    """(start, end, first word, words, digest) of the units of one text's chunks."""
+    made, j, held, at = [], 0, 0, 0
+    for i, (start, _, words) in enumerate(found):
+        while held < run_words and j < len(found):
+            held += found[j][2]
+            j += 1
+        if held < run_words:
+            break
+        made.append((start, found[j - 1][1], at, held, xxhash.xxh3_128_digest(b"".join(digests[i:j]))))
+        held -= words
+        at += words
+    return made
+
+
+def unit_table(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
+    """(doc_id, key, start, end, at, words, digest) of every unit; key is a hash of the text, offsets are UTF-8 bytes, at is the first word's number."""
 
     def run(batches):
         for batch in sliced(batches, "text", 1 << 20):
             texts = utf8(batch, "text")
             lowered = [t.lower() for t in texts]  # A-Z only, so offsets stay
-            found = chunk_texts(lowered)
+            found = []
+            for t, x in zip(lowered, chunk_texts(lowered)):
+                digests = [xxhash.xxh3_128_digest(b" ".join(t[s:e].split())) for s, e, _ in x]
+                found.append(units(x, digests, run_words))
             sizes = [len(x) for x in found]
             ids = batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
             keys = np.repeat(np.array([text_key(t) for t in texts], np.int64), sizes)
-            spans = np.array([c for x in found for c in x], np.int32).reshape(-1, 3)
-            digests = [xxhash.xxh3_128_digest(b" ".join(t[s:e].split())) for t, x in zip(lowered, found) for s, e, _ in x]
+            spans = np.array([u[:4] for x in found for u in x], np.int32).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(keys), *(pa.array(spans[:, k]) for k in range(3)), pa.array(digests, pa.binary())],
-                ["doc_id", "key", "start", "end", "words", "digest"],
+                [ids, pa.array(keys), *(pa.array(spans[:, k]) for k in range(4)), pa.array([u[4] for x in found for u in x], pa.binary())],
+                ["doc_id", "key", "start", "end", "at", "words", "digest"],
             )
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(run, "doc_id long, key long, start int, end int, words int, digest binary")
+    return texts.mapInArrow(run, "doc_id long, key long, start int, end int, at int, words int, digest binary")
 
 
 def text_key(text: bytes) -> int:
@@ -111,23 +139,26 @@ def text_key(text: bytes) -> int:
 def repeated_passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """(doc_id, key, start, end, words, first_words) of every repeated passage.
 
-    ``first_words`` of its words lie in chunks whose first occurrence this is.
+    ``first_words`` of its words lie in units whose first occurrence this is.
     """
-    found = chunk_table(docs)
+    found = unit_table(docs, run_words)
     known = found.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     again = stored(found.join(known, "digest"), "repeated")
     place = F.struct("doc_id", "key", "start")
     firsts = again.groupBy("digest").agg(F.min(place).alias("first"))
-    marked = again.join(firsts, "digest").select("doc_id", "key", "start", "end", "words", place.eqNullSafe(F.col("first")).alias("is_first"))
-    # All chunks of a document in one task: repeated rows fall together, runs are told by touching spans.
+    marked = again.join(firsts, "digest").select("doc_id", "key", "start", "end", "at", "words", place.eqNullSafe(F.col("first")).alias("is_first"))
+    # All units of a document in one task: repeated rows fall together, runs are told by overlapping spans.
     dealt = marked.repartition("doc_id", "key").dropDuplicates(["doc_id", "key", "start"])
     order = Window.partitionBy("doc_id", "key").orderBy("start")
-    begins = F.when(F.lag("end").over(order) == F.col("start"), 0).otherwise(1)
-    runs = dealt.withColumn("begins", begins).withColumn("run", F.sum("begins").over(order)).groupBy("doc_id", "key", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"),
-        F.sum(F.when(F.col("is_first"), F.col("words")).otherwise(0)).alias("first_words"),
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    last = F.col("at") + F.col("words")
+    # Ends grow with starts; of a first unit count the words that no first unit before it holds.
+    own = F.when(F.col("is_first"), last - F.greatest("at", F.coalesce(F.max(F.when(F.col("is_first"), last)).over(before), F.lit(0)))).otherwise(0)
+    begins = F.when(F.lag("end").over(order) > F.col("start"), 0).otherwise(1)
+    runs = dealt.withColumns({"begins": begins, "own": own}).withColumn("run", F.sum("begins").over(order)).groupBy("doc_id", "key", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.max(last) - F.min("at")).alias("words"), F.sum("own").alias("first_words"),
     )
-    return runs.where(F.col("words") >= run_words).drop("run")
+    return runs.drop("run")
 
 
 def substring_dedup(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
@@ -154,7 +185,7 @@ def _keys(batches):
 
 
 def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
-    """``docs`` with the repeated passages cut out of ``text`` wherever none of their chunks occurs for the first time."""
+    """``docs`` with the repeated passages cut out of ``text`` wherever none of their units occurs for the first time."""
     gone = repeated_passages(docs, run_words).where("first_words = 0").groupBy("doc_id", "key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
     schema = docs.schema
 

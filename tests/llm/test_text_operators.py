@@ -93,6 +93,28 @@ def test_passages_that_repeat_are_found(spark):
     assert cut[0] == rows[0][1] and len(cut[1]) < len(rows[1][1]) and cut[10] == rows[4][1]
 
 
+def test_passages_of_51_words_in_other_surroundings_are_found(spark):
+    import random
+
+    rng = random.Random(11)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    rows, runs = [], []
+    for k in range(600):
+        shared = prose(51)
+        rows += [(2 * k + i, f"{prose(rng.randint(0, 70))} {shared} {prose(rng.randint(0, 70))}") for i in range(2)]
+        runs.append(shared)
+    rows += [(5000, "word " * 45), (5001, f"{prose(30)} {'other ' * 51} {prose(30)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(docs).collect()}
+    assert all(r.has_repeats for r in got.values())
+    for k, shared in enumerate(runs):
+        for i in (2 * k, 2 * k + 1):
+            start, end = map(int, got[i].spans.split(":"))
+            assert texts[i][start:end].strip() in shared and 20 <= got[i].repeated_words <= 51
+        assert got[2 * k].removable_words == 0 and got[2 * k + 1].removable_words == got[2 * k + 1].repeated_words
+
+
 def test_substring_dedup_cases(spark, odd):
     got = substring_dedup.substring_dedup(odd).collect()
     assert len(got) == 9  # the repeated row of document 5 has one result
