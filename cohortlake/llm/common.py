@@ -19,15 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, **options) -> DataFrame:
     """``frame`` written to the shared scratch folder and read back.
 
     Cuts the lineage: what follows survives lost executors without repeating
-    the work above, and non-deterministic columns are fixed.
+    the work above, and non-deterministic columns are fixed.  ``options`` are
+    the writer's.
     """
     spark = frame.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    frame.write.parquet(path)
+    frame.write.parquet(path, **options)
     return spark.read.schema(frame.schema).parquet(path)
 
 

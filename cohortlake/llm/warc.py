@@ -64,11 +64,11 @@ def captures(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     slim = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html"))
     read = slim.withColumns({"sha1": F.sha1(F.encode("html", "UTF-8")), "size": F.octet_length("html").cast("long"), "serial": F.monotonically_increasing_id()})
-    known = stored(read.select("page_id", "sha1", "size", "serial"), "captures")
+    # Stored with the pages: a second scan may be split otherwise and number the rows otherwise.
+    known = stored(read, "captures", compression="zstd")
     owners = known.where(F.col("size") >= min_bytes).groupBy("sha1", "size").agg(F.max(F.struct("page_id", "serial")).alias("first"), F.count("*").alias("n")).where("n > 1")
     revisits = known.join(owners, ["sha1", "size"]).where("serial <> first.serial").select("serial", "first")
-    # The serial numbers come from the same scan of the same files; a repeated task counts alike.
-    return read.join(stored(revisits, "revisits"), "serial", "left")
+    return known.join(stored(revisits, "revisits"), "serial", "left")
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 1000, file_bytes: int = FILE_BYTES) -> None:

@@ -178,6 +178,32 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.read_archives(spark, f"{path}-none").count() == 0
 
 
+def test_archives_do_not_depend_on_file_splits(spark, tmp_path, monkeypatch):
+    size = "spark.sql.files.maxPartitionBytes"
+    held, real = spark.conf.get(size), warc.stored
+    rows = [(i, f"http://a/{i}", f"payload {i % 30} " * 200) for i in range(60)]
+    for k in range(6):
+        spark.createDataFrame(rows[k::6][: 10 - k] if k else rows[k::6], "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages/part={k}")
+    pages = spark.read.parquet(f"{tmp_path}/pages")
+
+    def stored(*args, **options):
+        out = real(*args, **options)
+        spark.conf.set(size, "2000")  # later scans split the files otherwise
+        return out
+
+    monkeypatch.setattr(warc, "stored", stored)
+    try:
+        warc.write_archives(pages, f"file://{tmp_path}/archives")
+    finally:
+        spark.conf.set(size, held)
+    monkeypatch.undo()
+    got = warc.transactions(warc.read_archives(spark, f"file://{tmp_path}/archives", with_payload=True)).collect()
+    texts = [r.html for r in pages.collect()]
+    assert len(got) == len(texts)
+    assert sorted(bytes(r.payload.payload).decode() for r in got if r.type == "response") == sorted(set(texts))
+    assert all(r.original is not None and f"sha1:{r.original.payload_sha1}" == r.declared_digest for r in got if r.type == "revisit")
+
+
 # ------------------------------------------------------------------ op5
 def brute_components(rows, width, percent):
     def shingles(text):
