@@ -115,6 +115,29 @@ def test_passages_of_51_words_in_other_surroundings_are_found(spark):
         assert got[2 * k].removable_words == 0 and got[2 * k + 1].removable_words == got[2 * k + 1].repeated_words
 
 
+def test_passages_lie_in_repeated_windows(spark):
+    import random
+
+    rng = random.Random(12)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    phrases = [prose(rng.randint(6, 18)) for _ in range(150)]
+    rows = [(i, " ".join(rng.choice(phrases) for _ in range(30))) for i in range(60)]
+    seen = {}
+    for i, text in rows:
+        words = text.split()
+        for k in range(len(words) - 19):
+            seen.setdefault(tuple(words[k : k + 20]), []).append((i, k))
+    again = {(i, k + d) for places in seen.values() if len(places) > 1 for i, k in places for d in range(20)}
+    texts = dict(rows)
+    found = 0
+    for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        text = texts[r.doc_id].encode()
+        first, words = len(text[: r.start].split()), len(text[r.start : r.end].split())
+        assert words == r.words and all((r.doc_id, first + d) in again for d in range(words))
+        found += 1
+    assert found
+
+
 def test_substring_dedup_cases(spark, odd):
     got = substring_dedup.substring_dedup(odd).collect()
     assert len(got) == 9  # the repeated row of document 5 has one result
