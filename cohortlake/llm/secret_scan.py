@@ -1,12 +1,16 @@
 """Secret scan: fixed patterns, and a token-efficiency test for random strings.
 
-A tokenizer's merges cover the strings that people write.  A run of at least
-``min_chars`` characters of ``[A-Za-z0-9+/_=-]`` with both letters and digits
-whose characters per token (tiktoken ranks file ``vocabulary``) fall below
-``max_ratio`` is a random string, unless it is a digest of a known length, a
-UUID, or an identifier made of plain words and numbers, or it touches a span
-that a fixed pattern found.  Only such runs are tokenised; the whole text is
-searched.
+A tokenizer's merges cover the strings that people write.  Runs of
+``[A-Za-z0-9+/_=-]`` are cut at the pieces (between separators ``+/_=-``) that
+a fixed pattern, a UUID or a digest of a known length covers whole.  A part of
+at least ``min_chars`` characters with a letter whose characters per token
+(tiktoken ranks file ``vocabulary``) fall below ``max_ratio`` is a random
+string.  Of other parts, the stretches of whole pieces are random strings that
+have that length and that ratio without counting separators: each time the one
+that is furthest below, so plain words beside a secret do not dilute it.  A
+piece that a fixed pattern covers in part is tested whole, and its span may
+overlap the pattern's.  Words and identifiers stay by their high ratio.  Only
+such parts are tokenised; the whole text is searched.
 
 Defined cases: null text is empty and has no spans; repeated rows each get
 their result; all columns of the input are kept, and ``spans`` (or ``text``
@@ -31,10 +35,11 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
-UUID = re.compile(r"[0-9a-fA-F]{8}-?(?:[0-9a-fA-F]{4}-?){3}[0-9a-fA-F]{12}")
+UUID = re.compile(r"(?<![A-Za-z0-9])[0-9a-fA-F]{8}-?(?:[0-9a-fA-F]{4}-?){3}[0-9a-fA-F]{12}(?![A-Za-z0-9])")
+DIGEST = re.compile("[0-9a-f]+|[0-9A-F]+")
 DIGEST_CHARS = (32, 40, 48, 56, 64, 96, 128)
-PIECES = re.compile(r"[+/_=-]+")
-PLAIN = re.compile(r"[a-z]*|[A-Z][a-z]*|[A-Z]+|[0-9]+|[A-Za-z]+[0-9]{1,4}")
+PIECE = re.compile("[A-Za-z0-9]+")
+LETTER = re.compile("[A-Za-z]")
 SPANS = ArrayType(StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType())]))
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -46,13 +51,42 @@ def encoding(ranks_file: bytes):
     return tiktoken.Encoding("secrets", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
-def known(run: str) -> bool:
-    """Whether a run is a digest of a known length, a UUID, or an identifier of words and numbers."""
-    if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)) or UUID.fullmatch(run):
-        return True
-    if len(run) in DIGEST_CHARS and re.fullmatch("[0-9a-f]+|[0-9A-F]+", run):
-        return True
-    return all(PLAIN.fullmatch(p) for p in PIECES.split(run))
+def parts(text: str, start: int, end: int, base: list[tuple[int, int, int]]):
+    """(start, end, pieces) of the parts of a run between the pieces that are a base span's, a UUID's or a digest."""
+    covers = [(s, e) for s, _, e in base if s < end and start < e] + [m.span() for m in UUID.finditer(text, start, end)]
+    at, pieces = start, []
+    for m in PIECE.finditer(text, start, end):
+        s, e = m.span()
+        if any(a <= s and e <= b for a, b in covers) or e - s in DIGEST_CHARS and DIGEST.fullmatch(text, s, e):
+            if pieces:
+                yield at, s, pieces
+            at, pieces = e, []
+        else:
+            pieces.append((s, e))
+    if pieces:
+        yield at, end, pieces
+
+
+def stretches(pieces: list[tuple[int, int]], weights: list[float], min_chars: int) -> list[tuple[int, int]]:
+    """Spans of disjoint stretches of pieces with a positive sum of weights, the largest first, of ``min_chars`` at least."""
+    sums = [0.0]
+    for w in weights:
+        sums.append(sums[-1] + w)
+    found, todo = [], [(0, len(pieces))]
+    while todo:
+        lo, hi = todo.pop()
+        best, least, i = (0.0, 0, 0), lo, lo
+        for j in range(lo, hi):
+            while i <= j and pieces[j][1] - pieces[i][0] >= min_chars:
+                if sums[i] <= sums[least]:
+                    least = i
+                i += 1
+            if i > lo and sums[j + 1] - sums[least] > best[0]:
+                best = (sums[j + 1] - sums[least], least, j + 1)
+        if best[0] > 0:
+            found.append((pieces[best[1]][0], pieces[best[2] - 1][1]))
+            todo += [(lo, best[1]), (best[2], hi)]
+    return found
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -70,16 +104,23 @@ def scanner(ranks_file, min_chars: int, max_ratio: float):
     runs = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % min_chars)
     made = []
 
+    def tokens(part: str) -> int:
+        if not made:
+            made.append(encoding(ranks_file.value))
+        return len(made[0].encode_ordinary(part))
+
     def spans(text: str) -> list[tuple[int, int, int]]:
         base = base_spans(text)
         added = []
         for m in runs.finditer(text):
-            if known(m.group()) or any(s < m.end() and m.start() < e for s, _, e in base):
-                continue
-            if not made:
-                made.append(encoding(ranks_file.value))
-            if (m.end() - m.start()) / len(made[0].encode_ordinary(m.group())) < max_ratio:
-                added.append((m.start(), 3, m.end()))
+            for s, e, pieces in parts(text, m.start(), m.end(), [x for x in base if x[0] < m.end() and m.start() < x[2]]):
+                if e - s < min_chars or not LETTER.search(text, s, e):
+                    continue
+                if (e - s) / tokens(text[s:e]) < max_ratio:
+                    added.append((s, 3, e))
+                    continue
+                weights = [max_ratio * tokens(text[a:b]) - (b - a) for a, b in pieces]
+                added += [(a, 3, b) for a, b in stretches(pieces, weights, min_chars) if LETTER.search(text, a, b)]
         return sorted(base + added)
 
     return spans

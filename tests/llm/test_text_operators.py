@@ -454,6 +454,33 @@ def test_secret_spans(spark, odd):
     assert secret_scan.redact_secrets(odd).columns == odd.columns and secret_scan.find_secrets(empty(spark)).count() == 0
 
 
+def test_random_strings_beside_words_and_patterns(spark):
+    import random
+    import string
+
+    rng = random.Random(6)
+    pick = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    letters, both = string.ascii_letters, string.ascii_letters + string.digits
+    secrets = [("", pick(32, letters), "") for _ in range(100)]
+    secrets += [("/api/v1/download/documents/reports/session/", pick(32, both), "/view/document") for _ in range(100)]
+    secrets += [("session_identifier=", pick(24, both), "") for _ in range(100)]
+    secrets += [("x ", f"{pick(9, 'GHJKLMNPQRSTUVWXYZ')}{pick(26, '0123456789abcdef')}{pick(9, 'ghjkmnpqrstuvwxyz')}", " y") for _ in range(100)]
+    secrets += [("", pick(20, string.ascii_lowercase) + "12", "") for _ in range(100)]
+    plain = [
+        "this_is_a_long_identifier_of_words the/path/to/some/document/in/a/folder internationalization_of_applications",
+        "getCustomerAddressByIdentifier 2024-01-01-2024-02-02 12345678901234567890123 --------------------------------",
+        "/files/550e8400-e29b-41d4-a716-446655440000/download 0123456789ABCDEF0123456789ABCDEF01234567",
+    ]
+    rows = [(i, "see " + "".join(x)) for i, x in enumerate(secrets)] + [(1000 + i, x) for i, x in enumerate(plain)]
+    clean = {r.doc_id: r.text for r in secret_scan.redact_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    left = [(x, clean[i]) for i, x in enumerate(secrets) if any(x[1][k : k + 6] in clean[i] for k in range(len(x[1]) - 5))]
+    with open(secret_scan.VOCABULARY, "rb") as f:
+        vocabulary = secret_scan.encoding(f.read())
+    # Only strings that hold longer tokens by chance stay: most of them lower-case letters.
+    assert all(len(x[1]) / len(vocabulary.encode_ordinary(x[1])) >= 2 for x, _ in left) and len(left) <= 15, left
+    assert [clean[1000 + i] for i in range(len(plain))] == plain
+
+
 def test_base_spans_equal_the_plain_patterns():
     plain = (
         (r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 6),
