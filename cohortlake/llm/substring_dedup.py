@@ -109,7 +109,12 @@ def units(found: list[tuple[int, int, int]], digests: list[bytes], run_words: in
 
 
 def unit_table(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
-    """(doc_id, key, start, end, at, words, digest) of every unit; key is a hash of the text, offsets are UTF-8 bytes, at is the first word's number."""
+    """(doc_id, key, digest, places) of the units of every text; key is a hash of the text.
+
+    ``places`` (start, end, at, words) lists all places of a unit in the text in
+    order: a word repeated many times is one row.  Offsets are UTF-8 bytes, at is
+    the first word's number.
+    """
 
     def run(batches):
         for batch in sliced(batches, "text", 1 << 20):
@@ -118,18 +123,22 @@ def unit_table(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
             found = []
             for t, x in zip(lowered, chunk_texts(lowered)):
                 digests = [xxhash.xxh3_128_digest(b" ".join(t[s:e].split())) for s, e, _ in x]
-                found.append(units(x, digests, run_words))
+                places: dict[bytes, list] = {}
+                for *place, digest in units(x, digests, run_words):
+                    places.setdefault(digest, []).append(place)
+                found.append(places)
             sizes = [len(x) for x in found]
             ids = batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
             keys = np.repeat(np.array([text_key(t) for t in texts], np.int64), sizes)
-            spans = np.array([u[:4] for x in found for u in x], np.int32).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(keys), *(pa.array(spans[:, k]) for k in range(4)), pa.array([u[4] for x in found for u in x], pa.binary())],
-                ["doc_id", "key", "start", "end", "at", "words", "digest"],
-            )
+            lists = [p for x in found for p in x.values()]
+            spans = np.array([p for x in lists for p in x], np.int32).reshape(-1, 4)
+            structs = pa.StructArray.from_arrays([pa.array(spans[:, k]) for k in range(4)], ["start", "end", "at", "words"])
+            places = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(x) for x in lists]), pa.int32()), structs)
+            digests = pa.array([d for x in found for d in x], pa.binary())
+            yield pa.RecordBatch.from_arrays([ids, pa.array(keys), digests, places], ["doc_id", "key", "digest", "places"])
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(run, "doc_id long, key long, start int, end int, at int, words int, digest binary")
+    return texts.mapInArrow(run, "doc_id long, key long, digest binary, places array<struct<start: int, end: int, at: int, words: int>>")
 
 
 def text_key(text: bytes) -> int:
@@ -142,11 +151,11 @@ def repeated_passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     ``first_words`` of its words lie in units whose first occurrence this is.
     """
     found = unit_table(docs, run_words)
-    known = found.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    known = found.groupBy("digest").agg(F.sum(F.size("places")).alias("n")).where("n > 1").select("digest")
     again = stored(found.join(known, "digest"), "repeated")
     place = F.struct("doc_id", "key", "start")
-    firsts = again.groupBy("digest").agg(F.min(place).alias("first"))
-    marked = again.join(firsts, "digest").select("doc_id", "key", "start", "end", "at", "words", place.eqNullSafe(F.col("first")).alias("is_first"))
+    firsts = again.groupBy("digest").agg(F.min(F.struct("doc_id", "key", F.col("places")[0]["start"].alias("start"))).alias("first"))
+    marked = again.join(firsts, "digest").select("doc_id", "key", "first", F.inline("places")).select("doc_id", "key", "start", "end", "at", "words", place.eqNullSafe(F.col("first")).alias("is_first"))
     # All units of a document in one task: repeated rows fall together, runs are told by overlapping spans.
     dealt = marked.repartition("doc_id", "key").dropDuplicates(["doc_id", "key", "start"])
     order = Window.partitionBy("doc_id", "key").orderBy("start")
