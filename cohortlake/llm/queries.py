@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlake.llm import chat_format, decontaminate, lm_score, mixing, near_dup, quality_classifier, quality_rules, secret_scan, substring_dedup, warc
+from cohortlake.llm import chat_format, decontaminate, exact_dedup, lm_score, mixing, near_dup, quality_classifier, quality_rules, secret_scan, substring_dedup, warc
 from cohortlake.llm.common import table
 from cohortlake.session import scratch_path
 
@@ -79,11 +79,17 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_chat_formatting, op3_benchmark_decontamination, op4_warc, op5_minhash_near_dedup,
         op6_mixing, op7_lm_scoring, op8_quality_classifier, op9_quality_rules, op10_secret_scans,
+        op13_exact_dedup,
     )
 }
 
@@ -156,4 +162,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND {' AND '.join(f'100 * {a} >= {low} * {b}' for _, a, b, low, _ in quality_rules.RULES if low is not None)}
   AND {' AND '.join(f'100 * {a} <= {high} * {b}' for _, a, b, _, high in quality_rules.RULES if high is not None)} AS kept
 FROM f""",
+    "op13_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW w AS (PARTITION BY t)""",
 }
