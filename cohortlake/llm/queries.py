@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlake.llm import chat_format, decontaminate, exact_dedup, lm_score, mixing, near_dup, quality_classifier, quality_rules, secret_scan, substring_dedup, warc
+from cohortlake.llm import chat_format, decontaminate, exact_dedup, lm_score, mixing, near_dup, quality_classifier, quality_rules, secret_scan, substring_dedup, turn_repair, warc
 from cohortlake.llm.common import table
 from cohortlake.session import scratch_path
 
@@ -79,6 +79,15 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    made = turn_repair.repair_conversations(turn_repair.damaged(turns))
+    rows = made.report.unionByName(turn_repair.digests(made.turns), allowMissingColumns=True).unionByName(turns.select("conv_id").distinct(), allowMissingColumns=True)
+    numbers = [F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("gaps", *turn_repair.COUNTS, "cost")]
+    return rows.groupBy("conv_id").agg(
+        *numbers, F.coalesce(F.max("audit"), F.lit("")).alias("audit"), F.coalesce(F.max("sha256"), F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
@@ -89,7 +98,7 @@ QUERIES = {
     for f in (
         op1_substring_dedup, op2_chat_formatting, op3_benchmark_decontamination, op4_warc, op5_minhash_near_dedup,
         op6_mixing, op7_lm_scoring, op8_quality_classifier, op9_quality_rules, op10_secret_scans,
-        op13_exact_dedup,
+        op12_structure_repair, op13_exact_dedup,
     )
 }
 
@@ -162,6 +171,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND {' AND '.join(f'100 * {a} >= {low} * {b}' for _, a, b, low, _ in quality_rules.RULES if low is not None)}
   AND {' AND '.join(f'100 * {a} <= {high} * {b}' for _, a, b, _, high in quality_rules.RULES if high is not None)} AS kept
 FROM f""",
+    "op12_structure_repair": f"""
+WITH RECURSIVE original AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: unicode(x)::BIGINT),
+      lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS kind
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM original)),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, left(role, 1) AS x
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged)),
+faults AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS ended,
+    lag(x) OVER (PARTITION BY conv_id ORDER BY i) || x AS pair FROM ordered),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+    count(*) FILTER (NOT blank AND NOT again AND NOT ended) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM faults GROUP BY conv_id),
+-- after: what the output ends with (nothing, s, u, a); ins: turns inserted to come there from a state.
+ins(p, q, audit, made) AS (VALUES ('', '', '', ''), ('s', 's', '', ''), ('u', 'u', '', ''), ('a', 'a', '', ''),
+  ('', 'u', 'I', 'u'), ('', 'a', 'II', 'ua'), ('s', 'u', 'I', 'u'), ('s', 'a', 'II', 'ua'), ('a', 'u', 'I', 'u'), ('u', 'a', 'I', 'a')),
+out(p, q) AS (VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')),
+parse(conv_id, i, p, cost, audit, repaired) AS (
+  SELECT conv_id, 0::BIGINT, '', 0::BIGINT, '', []::VARCHAR[] FROM counts
+  UNION ALL
+  SELECT conv_id, i, p, best.cost, best.audit, best.repaired FROM (
+    SELECT conv_id, i, p, min({{'cost': cost, 'audit': audit, 'repaired': repaired}}) AS best FROM (
+      SELECT t.conv_id, f.i, t.p, t.cost + 3 AS cost, t.audit || 'D' AS audit, t.repaired FROM parse t JOIN faults f ON f.conv_id IS NOT DISTINCT FROM t.conv_id AND f.i = t.i + 1
+      UNION ALL
+      SELECT t.conv_id, f.i, out.q, t.cost + 2 * length(ins.audit) + CASE WHEN op = 'R' THEN 2 ELSE 0 END + CASE WHEN f.ended THEN 0 ELSE 1 END, t.audit || ins.audit || op,
+        t.repaired || CASE ins.made WHEN '' THEN [] WHEN 'u' THEN ['user:'] WHEN 'a' THEN ['assistant:'] ELSE ['user:', 'assistant:'] END
+          || [CASE WHEN op = 'K' THEN f.role WHEN out.q = 'u' THEN 'user' ELSE 'assistant' END || ':' || f.text]
+      FROM parse t JOIN faults f ON f.conv_id IS NOT DISTINCT FROM t.conv_id AND f.i = t.i + 1 JOIN ins ON ins.p = t.p JOIN out ON out.p = ins.q, (VALUES ('K'), ('R')) AS ops(op)
+      WHERE NOT f.blank AND NOT f.again AND CASE WHEN op = 'K' THEN f.x = out.q ELSE out.q <> 's' END)
+    GROUP BY conv_id, i, p)),
+ends AS (
+  SELECT t.conv_id, min({{'cost': t.cost + 2 * length(ins.audit), 'audit': t.audit || ins.audit,
+    'repaired': t.repaired || CASE ins.made WHEN '' THEN [] WHEN 'a' THEN ['assistant:'] ELSE ['user:', 'assistant:'] END}}) AS best
+  FROM parse t JOIN counts c ON c.conv_id IS NOT DISTINCT FROM t.conv_id AND c.n = t.i JOIN ins ON ins.p = t.p WHERE ins.q IN ('', 'a') GROUP BY t.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.repaired, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id""",
     "op13_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
