@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlake.llm import chat_format, decontaminate, exact_dedup, lm_score, mixing, near_dup, quality_classifier, quality_rules, secret_scan, substring_dedup, turn_repair, warc
+from cohortlake.llm import chat_format, collocations, decontaminate, exact_dedup, lm_score, mixing, near_dup, quality_classifier, quality_rules, secret_scan, substring_dedup, turn_repair, warc
 from cohortlake.llm.common import table
 from cohortlake.session import scratch_path
 
@@ -79,6 +79,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     made = turn_repair.repair_conversations(turn_repair.damaged(turns))
@@ -98,7 +102,7 @@ QUERIES = {
     for f in (
         op1_substring_dedup, op2_chat_formatting, op3_benchmark_decontamination, op4_warc, op5_minhash_near_dedup,
         op6_mixing, op7_lm_scoring, op8_quality_classifier, op9_quality_rules, op10_secret_scans,
-        op12_structure_repair, op13_exact_dedup,
+        op11_collocations, op12_structure_repair, op13_exact_dedup,
     )
 }
 
@@ -171,6 +175,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND {' AND '.join(f'100 * {a} >= {low} * {b}' for _, a, b, low, _ in quality_rules.RULES if low is not None)}
   AND {' AND '.join(f'100 * {a} <= {high} * {b}' for _, a, b, _, high in quality_rules.RULES if high is not None)} AS kept
 FROM f""",
+    "op11_collocations": f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {AZ}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+f AS MATERIALIZED (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS s, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 6) AS r(k) WHERE len(w) >= k) GROUP BY ALL),
+t AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, s, string_split(s, ' ') AS w, f AS a FROM f WHERE k >= 2 AND f >= 100),
+inner_ AS (SELECT lang, array_to_string(w[i:j], ' ') AS s, max(a) AS most FROM (SELECT *, unnest(range(i + 1, k + 1)) AS j FROM (SELECT *, unnest(range(1, k)) AS i FROM c)) WHERE j - i + 1 < k GROUP BY ALL),
+cut AS (SELECT c.lang, c.s, c.a, m AS m, x.f AS l, y.f AS r, n, (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS m FROM c) c JOIN f x ON x.lang = c.lang AND x.s = array_to_string(c.w[1:m], ' ') JOIN f y ON y.lang = c.lang AND y.s = array_to_string(c.w[m + 1:], ' ') JOIN t ON t.lang = c.lang),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, m) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank, s AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM best b LEFT JOIN inner_ i USING (lang, s) WHERE most IS NULL OR 100 * most < 100 * a QUALIFY rank <= 2000""",
     "op12_structure_repair": f"""
 WITH RECURSIVE original AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
