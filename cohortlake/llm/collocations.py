@@ -13,11 +13,11 @@ is what drops a candidate inside a longer phrase of the same count (a phrase of
 the same count that is longer by more words goes through one longer by one word).
 
 Scale.  Most grams of a corpus are rare, and no rare one can be part of a
-candidate.  So a first pass counts words and word pairs in ``2 ** filter_bits``
-hash buckets; a bucket below the least count proves that all of its pairs are
-rare, and pieces are cut there too, as at their ends.  A candidate and its parts
+candidate.  So a first pass counts word pairs in ``2 ** filter_bits`` hash
+buckets; a bucket below the least count proves that all of its pairs are rare,
+and pieces are cut between their words too, as at their ends.  A candidate and its parts
 never hold such a pair, so their counts stay exact, and what is shuffled are the
-grams of the frequent stretches, summed in every task first.  The filter is a
+single words and the grams of the frequent stretches, summed in every task first.  The filter is a
 bitmap of fixed size (16 MB at 27 bits), the only thing collected and broadcast.  It
 tells less and less from about 2 ** filter_bits * min_count / 2 words on; results
 do not depend on it, only the shuffle, which without it has one gram a word.
@@ -74,12 +74,11 @@ class Words:
             self.hashes = np.concatenate([self.hashes, np.fromiter((xxhash.xxh3_64_intdigest(w) for w in new), np.uint64, len(new))])
         return np.array(out, np.int64)
 
-    def buckets(self, stream: np.ndarray, lang: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket of each word, and of each word with the next."""
+    def pair_buckets(self, stream: np.ndarray, lang: bytes, bits: int) -> np.ndarray:
+        """Bucket of each word with the next."""
         h = self.hashes[stream] ^ np.uint64(xxhash.xxh3_64_intdigest(lang))
         pair = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-        mixed = [(x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) for x in (h + np.uint64(1), pair)]
-        return tuple((x >> np.uint64(64 - bits)).astype(np.int64) for x in mixed)
+        return ((pair ^ (pair >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _by_language(batches):
@@ -102,14 +101,13 @@ def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 # ------------------------------------------------------------------ filter
 def _filter(texts: DataFrame, bits: int, least: int) -> bytes:
-    """Bitmap of the buckets that hold ``least`` words or pairs or more."""
+    """Bitmap of the buckets that hold ``least`` pairs of words or more."""
     size = 1 << BLOCK_BITS
 
     def counted(batches):
         for lang, stream, words in _by_language(batches):
-            one, two = words.buckets(stream, lang.encode(), bits)
-            found = np.concatenate([one[stream > 0], two[(stream[:-1] > 0) & (stream[1:] > 0)]])
-            at, n = np.unique(found, return_counts=True)
+            pairs = words.pair_buckets(stream, lang.encode(), bits)
+            at, n = np.unique(pairs[(stream[:-1] > 0) & (stream[1:] > 0)], return_counts=True)
             blocks, starts = np.unique(at >> BLOCK_BITS, return_index=True)
             ends = np.append(starts[1:], len(at))
             made = [np.stack([(at[i:j] & (size - 1)).astype(np.uint32), n[i:j].astype(np.uint32)]).tobytes() for i, j in zip(starts, ends)]
@@ -164,12 +162,9 @@ def _grams(texts: DataFrame, width: int, bits: int, bitmap) -> DataFrame:
             return (frequent[buckets >> 3] >> (7 - (buckets & 7)).astype(np.uint8) & 1).astype(bool)
 
         for lang, stream, words in _by_language(batches):
-            one, two = words.buckets(stream, lang.encode(), bits)
-            common = (stream > 0) & holds(one)
-            links = common[:-1] & common[1:] & holds(two)
-            kept = np.where(common, stream, 0)
-            at, length, n = cut_grams(kept, links, width)
-            names, ids = words.words, kept.tolist()
+            links = (stream[:-1] > 0) & (stream[1:] > 0) & holds(words.pair_buckets(stream, lang.encode(), bits))
+            at, length, n = cut_grams(stream, links, width)
+            names, ids = words.words, stream.tolist()
             grams = [b" ".join([names[w] for w in ids[i : i + k]]) for i, k in zip(at.tolist(), length.tolist())]
             m = len(grams)
             yield pa.RecordBatch.from_arrays(
