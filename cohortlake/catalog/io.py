@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from cohortlake import oracle as O
@@ -15,6 +16,7 @@ from cohortlake.operators import features as feat
 from cohortlake.operators import quality as q
 from cohortlake.plans import curate, experiments as X, pipeline
 from cohortlake.plans import refresh as R
+from cohortlake.plans.committed import Store, missing_files, storage_summary, written_relations
 from cohortlake.plans.stages import stage
 from cohortlake.registry import register
 from cohortlake.schemas import DATE_RANGE_SCHEMA, FEATURE_SCHEMA, SEGMENT_SCHEMA
@@ -104,7 +106,8 @@ def scan_gzip_parts(spark, sf):
 SELECT *, CAST(year(transaction_date) AS INTEGER) AS tx_year, CAST(month(transaction_date) AS INTEGER) AS tx_month
 FROM transactions""")
 def scan_parquet(spark, sf):
-    return files.read_parquet(spark, f"{curated_stage(spark, sf).base}/typed/transactions")
+    (held,) = (e for e in Store(spark, curated_stage(spark, sf).base).entries(curate.CURATED_LAYER) if e.relation == "transactions")
+    return files.read_parquet(spark, held.path)
 
 
 # ----------------------------------------------------------------- S5, S6, S7
@@ -180,56 +183,117 @@ def sql_parameterised(spark, sf):
     )
 
 
+def _run_store(spark, sf) -> Store:
+    """The curated stage, both feature tables and the scaling samples as one store, in three commits."""
+    def write(base):
+        cur = curate.curate(spark, pipeline.clean(spark, sf), base)
+        curate.write_features(cur)
+        X.build_scaling_inputs(q.CleanTables(cur.labels_february, cur.labels_march, cur.members, cur.transactions, cur.user_logs), base)
+    return Store(spark, stage(spark, sf, "run-store", write))
+
+
 @register("storage_inventory")
 def storage_inventory(spark, sf):
-    """Files and bytes of the raw CSV copy and the curated Parquet stage."""
-    entries = [("raw_csv", raw_csv_stage(spark, sf)), ("curated_parquet", curated_stage(spark, sf).base)]
-    return files.inventory(spark, entries).drop("exists")
+    """Files and bytes of the raw CSV copy and of the curated layer."""
+    return storage_summary(spark, raw_csv_stage(spark, sf), _run_store(spark, sf))
 
 
 @register("result_index")
 def result_index(spark, sf):
-    """Every expected output must hold files, else the query fails."""
-    cur = curated_stage(spark, sf).base
-    entries = [
-        ("curated_members", f"{cur}/typed/members"),
-        ("curated_transactions", f"{cur}/typed/transactions"),
-        ("curated_user_logs", f"{cur}/typed/user_logs"),
-        ("curated_labels", f"{cur}/labels"),
-        ("raw_csv", raw_csv_stage(spark, sf)),
-        ("scaling_inputs", scaling_stage(spark, sf).base),
-    ]
-    index = files.inventory(spark, entries, label_col="category", path_col="path")
-    return files.require_all_exist(index)
-
-
-@register("storage_inventory_check", """
-SELECT * FROM (VALUES ('raw_csv', TRUE, TRUE), ('curated_parquet', TRUE, TRUE)) AS v(storage_layer, has_files, has_bytes)""")
-def storage_inventory_check(spark, sf):
-    """What does not depend on paths and file sizes."""
-    return storage_inventory(spark, sf).select(
-        "storage_layer", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    """Every relation that the manifest names, with its files; the query fails where they are gone."""
+    return missing_files(written_relations(_run_store(spark, sf)))
+
 
+CURATED_COUNTS = "\nUNION ALL ".join(f"SELECT 'curated_parquet' AS storage_layer, '{t}' AS relation, count(*) AS rows FROM {t}" for t in curate.CURATED)
 
-@register("result_index_check", """
-SELECT category, TRUE AS "exists" FROM (VALUES ('curated_members'), ('curated_transactions'), ('curated_user_logs'),
-  ('curated_labels'), ('raw_csv'), ('scaling_inputs')) AS v(category)""")
+
+@register("storage_inventory_check", "\nUNION ALL ".join(
+    f"SELECT 'raw_csv' AS storage_layer, '{t}' AS relation, count(*) AS rows FROM {v}"
+    for t, v in (("train", "raw_train"), ("train_v2", "raw_train_v2"), ("members_v3", "raw_members"), ("transactions", "raw_transactions"), ("user_logs", "raw_user_logs"))
+) + "\nUNION ALL " + CURATED_COUNTS)
+def storage_inventory_check(spark, sf):
+    """Rows of the raw CSV files as read, and of the curated relations as their writer counted them."""
+    raw = [f.agg(F.lit("raw_csv").alias("storage_layer"), F.lit(t).alias("relation"), F.count(F.lit(1)).alias("rows"))
+           for t, f in files.read_raw_csv(spark, raw_csv_stage(spark, sf)).items()]
+    curated = written_relations(_run_store(spark, sf), curate.CURATED_LAYER).select("storage_layer", "relation", "rows")
+    return reduce(DataFrame.unionByName, [*raw, curated])
+
+
+O.view("feb_sampled", "SELECT msno FROM feb_bucketed WHERE bucket < 20")
+
+
+@register("result_index_check", f"""
+{CURATED_COUNTS}
+UNION ALL SELECT 'features', 'features_february', count(*) FROM february_features
+UNION ALL SELECT 'features', 'features_march', count(*) FROM march_features
+UNION ALL SELECT 'scaling_inputs', 'labels', count(*) FROM feb_sampled
+UNION ALL SELECT 'scaling_inputs', 'members', count(*) FROM members WHERE msno IN (SELECT msno FROM feb_sampled)
+UNION ALL SELECT 'scaling_inputs', 'transactions', count(*) FROM transactions
+  WHERE msno IN (SELECT msno FROM feb_sampled) AND transaction_date BETWEEN DATE '{FEB}' - 89 AND DATE '{FEB}'
+UNION ALL SELECT 'scaling_inputs', 'logs', count(DISTINCT (msno, event_date)) FROM user_logs
+  WHERE msno IN (SELECT msno FROM feb_sampled) AND event_date BETWEEN DATE '{FEB}' - 29 AND DATE '{FEB}'""")
 def result_index_check(spark, sf):
-    """The indexed outputs without paths and sizes."""
-    return result_index(spark, sf).select("category", "exists")
+    """The indexed relations and the rows that their writers counted."""
+    return result_index(spark, sf).select("storage_layer", "relation", "rows")
+
+
+# ----------------------------------------------------------------- A15, A16: refresh by what changed
+def _before(frame, day_col: str, values: dict, month: tuple):
+    """The table as it was before: late rows missing, some days' values other, one month there that is empty now.
+
+    Late: a third of the subscribers' rows of the last week of the March window.
+    Other: ``values`` on the 5th of each month.  There: the rows of ``month`` once
+    more, 40 years earlier.
+    """
+    end = F.lit(MAR).cast("date")
+    late = (hash_bucket("msno") < 33) & F.col(day_col).between(F.date_sub(end, 6), end)
+    other = F.dayofmonth(day_col) == 5
+    early = frame.where((F.year(day_col) == month[0]) & (F.month(day_col) == month[1])).withColumn(day_col, F.add_months(day_col, -480))
+    return frame.where(~late).withColumns({c: F.when(other, v).otherwise(F.col(c)) for c, v in values.items()}).unionByName(early)
+
+
+def _tables_before(t):
+    tx = _before(t.transactions, "transaction_date", {"is_cancel": F.lit(1) - F.col("is_cancel")}, (2001, 1))
+    logs = _before(t.user_logs, "event_date", {"num_50": F.col("num_50") + 1}, (2001, 2))
+    return tx, logs
+
+
+def _loaded_before(spark, sf, name: str):
+    """A store with the partials of the tables as they were before."""
+    return R.PartialStore(stage(spark, sf, name, lambda base: R.refresh_partials(R.PartialStore(base), *_tables_before(curated_as_clean(spark, sf)))))
 
 
 @register("features_incremental_refresh", "SELECT * FROM march_features", doubles=FEATURE_DOUBLES)
 def features_incremental_refresh(spark, sf):
-    """A15/A16 as incremental refresh: load all days' partials, then refresh the
-    months holding the last week of the March window, then merge the window."""
-    t = pipeline.clean(spark, sf)
-    end = dt.date.fromisoformat(MAR)
-    last_week = [(end - dt.timedelta(days=i)).isoformat() for i in range(7)]
-
+    """Partials of the tables as they were before, refreshed from the tables as they are, merged for March."""
     def write(base):
-        store = R.refresh_partials(R.PartialStore(base), t.transactions, t.user_logs)
-        R.refresh_partials(store, t.transactions, t.user_logs, days=last_week)
-
-    store = R.PartialStore(stage(spark, sf, "daily-partials", write))
-    return R.features_from_partials(spark, store, t.labels_march, t.members, MAR)
+        store = R.PartialStore(base)
+        R.refresh_partials(store, *_tables_before(curated_as_clean(spark, sf)))
+        R.refresh_changed(store, cur.transactions, cur.user_logs, curate.TX_PARTITIONS, curate.LOG_PARTITIONS)
+
+    cur = curated_stage(spark, sf)
+    return R.features_from_partials(spark, R.PartialStore(stage(spark, sf, "daily-partials", write)), cur.labels_march, cur.members, MAR)
+
+
+def _changes_sql(table: str, day: str, value: str, old: str, month: str) -> str:
+    """Days of a table whose multisets of rows differ, by comparing the rows themselves."""
+    return f"""
+SELECT '{table}' AS table_name, day, CASE WHEN rows_before = 0 THEN 'new' WHEN rows_now = 0 THEN 'gone' ELSE 'changed' END AS change, rows_before, rows_now
+FROM (SELECT {day} AS day, CAST(sum(b) AS BIGINT) AS rows_before, CAST(sum(n) AS BIGINT) AS rows_now, bool_or(b <> n) AS differs
+  FROM (SELECT * EXCLUDE (b, n), sum(b) AS b, sum(n) AS n FROM (
+      SELECT *, 0 AS b, 1 AS n FROM {table}
+      UNION ALL SELECT * REPLACE (CASE WHEN dayofmonth({day}) = 5 THEN {old} ELSE {value} END AS {value}), 1, 0 FROM {table}
+        WHERE NOT ({day} BETWEEN DATE '{MAR}' - 6 AND DATE '{MAR}' AND {O.bucket()} < 33)
+      UNION ALL SELECT * REPLACE (CAST({day} - INTERVAL 480 MONTH AS DATE) AS {day}), 1, 0 FROM {table} WHERE strftime({day}, '%Y-%m') = '{month}')
+    GROUP BY ALL)
+  GROUP BY day)
+WHERE differs"""
+
+
+@register("refresh_changed_days", _changes_sql("transactions", "transaction_date", "is_cancel", "1 - is_cancel", "2001-01")
+          + "\nUNION ALL" + _changes_sql("user_logs", "event_date", "num_50", "num_50 + 1", "2001-02"))
+def refresh_changed_days(spark, sf):
+    """The days that a refresh finds to have changed, by their digests."""
+    cur = curated_stage(spark, sf)
+    store = _loaded_before(spark, sf, "partials-before")
+    return R.changed_days(store, cur.transactions, cur.user_logs, curate.TX_PARTITIONS, curate.LOG_PARTITIONS)

@@ -15,10 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortlake.config import CONFIG
 from cohortlake.operators.features import build_cohort
 from cohortlake.operators.quality import CleanTables
-from cohortlake.sinks.writers import write_parquet, write_partitioned_by_month
+from cohortlake.plans.committed import Store
+from cohortlake.sinks.writers import month_layout
 
 TX_PARTITIONS = ("tx_year", "tx_month")
 LOG_PARTITIONS = ("event_year", "event_month")
+#: Layers of a run's store: the typed copy of the raw tables, the clean tables, what is derived.
+RAW_LAYER, CURATED_LAYER, FEATURE_LAYER, SCALING_LAYER = "raw_typed", "curated_parquet", "features", "scaling_inputs"
+CURATED = ("members", "transactions", "user_logs", "labels_february", "labels_march")
 
 
 @dataclass(frozen=True)
@@ -46,45 +50,41 @@ def stage_typed_raw(typed: dict, base: str) -> dict:
     CSV text three times.  Raw date text stays beside the parsed dates, so
     every profile rule keeps its meaning.
     """
-    spark = next(iter(typed.values())).sparkSession
-    out = {}
-    for name, frame in typed.items():
-        path = f"{base}/raw_typed/{name}"
-        write_parquet(frame, path)
-        out[name] = spark.read.parquet(path)
-    return out
+    store = Store(next(iter(typed.values())).sparkSession, base)
+    names = {name: f"raw_typed_{name}" for name in typed}
+    store.commit([store.write(names[name], frame, RAW_LAYER) for name, frame in typed.items()])
+    return {name: store.read(names[name]) for name in typed}
 
 
 def write_features(stage: CuratedStage, cohorts=("february", "march"), cutoffs: dict | None = None) -> dict:
     """B5 stage: each cohort's feature table written and read back (lineage cut)."""
-    spark = stage.members.sparkSession
-    out = {}
-    for name in cohorts:
-        path = f"{stage.base}/features/{name}"
-        write_parquet(stage.cohort(name, (cutoffs or {}).get(name)), path)
-        out[name] = spark.read.parquet(path)
-    return out
+    store = Store(stage.members.sparkSession, stage.base)
+    store.commit([store.write(f"features_{name}", stage.cohort(name, (cutoffs or {}).get(name)), FEATURE_LAYER) for name in cohorts])
+    return {name: read_features(store.spark, stage.base, name) for name in cohorts}
+
+
+def read_features(spark: SparkSession, base: str, cohort: str) -> DataFrame:
+    return Store(spark, base).read(f"features_{cohort}")
 
 
 def write_stage(clean: CleanTables, base: str) -> str:
-    write_parquet(clean.members, f"{base}/typed/members")
-    write_partitioned_by_month(clean.transactions, f"{base}/typed/transactions", "transaction_date", "tx")
-    write_partitioned_by_month(clean.user_logs, f"{base}/typed/user_logs", "event_date", "event")
-    write_parquet(clean.labels_february, f"{base}/labels/february")
-    write_parquet(clean.labels_march, f"{base}/labels/march")
+    """Write the clean tables as one commit: readers see all of them or none."""
+    store = Store(clean.members.sparkSession, base)
+    by_month = {"transactions": ("transaction_date", "tx"), "user_logs": ("event_date", "event")}
+    entries = []
+    for name in CURATED:
+        frame, parts = getattr(clean, name), ()
+        if name in by_month:
+            frame, parts = month_layout(frame, *by_month[name])
+        entries.append(store.write(name, frame, CURATED_LAYER, parts))
+    store.commit(entries)
     return base
 
 
 def read_stage(spark: SparkSession, base: str) -> CuratedStage:
-    r = spark.read.parquet
-    return CuratedStage(
-        base=base,
-        labels_february=r(f"{base}/labels/february"),
-        labels_march=r(f"{base}/labels/march"),
-        members=r(f"{base}/typed/members"),
-        transactions=r(f"{base}/typed/transactions"),
-        user_logs=r(f"{base}/typed/user_logs"),
-    )
+    """The committed clean tables; ``NotCommitted`` where a writer did not come to its end."""
+    held = Store(spark, base).latest()
+    return CuratedStage(base=base, **{name: held.read(name, layer=CURATED_LAYER) for name in CURATED})
 
 
 def curate(spark: SparkSession, clean: CleanTables, base: str) -> CuratedStage:

@@ -9,18 +9,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from cohortlake.config import CONFIG
 from cohortlake.functions.columns import parse_iso_date, parse_yyyymmdd
 from cohortlake.operators import asof
-from cohortlake.operators.features import feature_checksum, feature_join
+from cohortlake.operators.features import feature_checksum, feature_join, member_tenure
 from cohortlake.operators.joins import aggregate_then_join, fan_out
 from cohortlake.operators.quality import CleanTables, latest_per_key
-from cohortlake.operators.sampling import nested_counts, sample_tier
-from cohortlake.schemas import LABEL_SCHEMA, LOG_SCHEMA, SAMPLE_LOG_SCHEMA, SAMPLE_MEMBER_SCHEMA, SAMPLE_TX_SCHEMA
+from cohortlake.operators.sampling import hash_sample, nested_counts, sample_tier
+from cohortlake.plans.committed import Store
+from cohortlake.plans.curate import LOG_PARTITIONS, SCALING_LAYER, TX_PARTITIONS
+from cohortlake.schemas import LOG_SCHEMA
 from cohortlake.sinks.writers import CSV_TEXT_OPTIONS, by_key_for_write
-from cohortlake.sources.files import read_csv_typed
+from cohortlake.sources.files import file_lengths, read_csv_typed
 
 FEB = CONFIG.cutoffs["february"]
 TX_DAYS, LOG_DAYS = CONFIG.transaction_days, CONFIG.listening_days
@@ -28,13 +29,27 @@ PCTS = CONFIG.scaling_percentages
 
 
 # ----------------------------------------------------------------- E1
-def join_experiment_inputs(clean: CleanTables, cutoff: str = FEB):
-    """Labels and the raw rows of both windows; cohort keys are kept after counting per key."""
-    logs = asof.asof_window(clean.user_logs, "event_date", cutoff, LOG_DAYS)
-    tx = asof.asof_window(clean.transactions, "transaction_date", cutoff, TX_DAYS)
-    return (clean.labels_february,
-            logs.select("msno", "event_date", "total_secs"),
-            tx.select("msno", "transaction_date", "is_auto_renew", "is_cancel"))
+def event_windows(clean: CleanTables, cutoff: str = FEB) -> tuple[DataFrame, DataFrame]:
+    """(transactions, logs) of the windows; tables that are stored by month are read by month."""
+    def window(frame, day, days, parts):
+        parts = parts if set(parts) <= set(frame.columns) else None
+        return asof.asof_window(frame, day, cutoff, days, parts).drop(*(parts or ()))
+
+    return (window(clean.transactions, "transaction_date", TX_DAYS, TX_PARTITIONS),
+            window(clean.user_logs, "event_date", LOG_DAYS, LOG_PARTITIONS))
+
+
+def join_experiment_inputs(clean: CleanTables, cutoff: str = FEB, sample: tuple[int, int] | None = None):
+    """Labels and the raw rows of both windows; cohort keys are kept after counting per key.
+
+    ``sample=(n, modulus)`` keeps the keys of ``n`` of ``modulus`` hash buckets; it
+    is a function of the key, so it is applied to all three tables as they are read.
+    """
+    tx, logs = event_windows(clean, cutoff)
+    cut = (lambda frame: hash_sample(frame, sample[0], modulus=sample[1])) if sample else (lambda frame: frame)
+    return (cut(clean.labels_february),
+            cut(logs).select("msno", "event_date", "total_secs"),
+            cut(tx).select("msno", "transaction_date", "is_auto_renew", "is_cancel"))
 
 
 def cohort_fan_out(labels: DataFrame, logs: DataFrame, tx: DataFrame) -> DataFrame:
@@ -56,14 +71,14 @@ def aggregate_first_join(labels: DataFrame, logs: DataFrame, tx: DataFrame) -> D
     )
 
 
-def join_strategy(clean: CleanTables, cutoff: str = FEB) -> DataFrame:
+def join_strategy(clean: CleanTables, cutoff: str = FEB, sample: tuple[int, int] | None = None) -> DataFrame:
     """Input sizes and output rows of the raw many-to-many join vs aggregate-first.
 
     One full outer join of per-key row counts gives both input sizes and the
     raw join's size (sum of count products) in a single pass -- the pairs are
     never materialised.  The aggregate-first result is counted for real.
     """
-    labels, logs, tx = join_experiment_inputs(clean, cutoff)
+    labels, logs, tx = join_experiment_inputs(clean, cutoff, sample)
     lc = logs.groupBy("msno").agg(F.count(F.lit(1)).alias("l"))
     tc = tx.groupBy("msno").agg(F.count(F.lit(1)).alias("t"))
     stats = asof.restrict_to_cohort(lc.join(tc, "msno", "full_outer"), labels).agg(
@@ -141,10 +156,24 @@ def format_experiment(spark: SparkSession, raw_logs: DataFrame | None, parquet_l
 # ----------------------------------------------------------------- E3
 @dataclass(frozen=True)
 class ScalingInputs:
+    """The samples in a committed store (``committed.Store``)."""
+
     base: str
 
-    def path(self, table: str) -> str:
-        return f"{self.base}/{table}"
+
+def _sampled(clean: CleanTables, cutoff: str, percentages) -> dict:
+    """Rows of each table whose key is in a sample and in the labels, with ``sample_tier``.
+
+    The tier is a function of the key: it filters each table as it is read, so
+    only sampled rows meet the label keys.
+    """
+    def tiered(frame):
+        return frame.withColumn("sample_tier", sample_tier(percentages=percentages)).filter(F.col("sample_tier").isNotNull())
+
+    labels = tiered(clean.labels_february)
+    tx, logs = event_windows(clean, cutoff)
+    cut = lambda frame: tiered(frame).join(labels.select("msno"), "msno", "left_semi")
+    return {"labels": labels, "members": cut(clean.members), "transactions": cut(tx), "logs": cut(asof.daily_listening(tiered(logs)))}
 
 
 def build_scaling_inputs(clean: CleanTables, base: str, cutoff: str = FEB,
@@ -155,18 +184,11 @@ def build_scaling_inputs(clean: CleanTables, base: str, cutoff: str = FEB,
     key) and is written into that tier's directory, so the p% sample is the
     set of tiers <= p and each row is stored once, not once per percentage.
     """
-    labels = clean.labels_february.withColumn("sample_tier", sample_tier(percentages=percentages)).filter(
-        F.col("sample_tier").isNotNull()
-    )
-    keys = labels.select("msno", "sample_tier")
-
-    def cut(frame):
-        return frame.join(keys, "msno", "inner")
-
-    members = cut(clean.members).select(
+    cut = _sampled(clean, cutoff, percentages)
+    members = cut["members"].select(
         "msno", F.date_format("registration_date", "yyyy-MM-dd").alias("registration_date_raw"), "sample_tier"
     )
-    tx = cut(asof.asof_window(clean.transactions, "transaction_date", cutoff, TX_DAYS)).select(
+    tx = cut["transactions"].select(
         "msno",
         F.date_format("transaction_date", "yyyy-MM-dd").alias("transaction_date_raw"),
         F.date_format("membership_expire_date", "yyyy-MM-dd").alias("membership_expire_date_raw"),
@@ -174,74 +196,75 @@ def build_scaling_inputs(clean: CleanTables, base: str, cutoff: str = FEB,
         "is_cancel",
         "sample_tier",
     )
-    daily = asof.daily_listening(asof.asof_window(clean.user_logs, "event_date", cutoff, LOG_DAYS))
-    logs = cut(daily).select(
+    logs = cut["logs"].select(
         "msno", F.date_format("event_date", "yyyy-MM-dd").alias("event_date_raw"), "total_secs", "sample_tier"
     )
     # File count follows the data (AQE advisory size) unless ``partitions`` pins it.
-    for name, frame in (("labels", labels), ("members", members), ("transactions", tx), ("logs", logs)):
-        (by_key_for_write(frame, "msno", partitions).write.mode("overwrite").partitionBy("sample_tier")
-         .options(**CSV_TEXT_OPTIONS).option("compression", "gzip").csv(f"{base}/{name}"))
+    store = Store(clean.members.sparkSession, base)
+    tables = {"labels": cut["labels"], "members": members, "transactions": tx, "logs": logs}
+    store.commit([
+        store.write(name, by_key_for_write(frame, "msno", partitions), SCALING_LAYER, ("sample_tier",), "csv", **CSV_TEXT_OPTIONS, compression="gzip")
+        for name, frame in tables.items()
+    ])
     return ScalingInputs(base)
 
 
 def read_sample(spark: SparkSession, inputs: ScalingInputs, table: str, percentage: int) -> DataFrame:
     """S3: the gzip CSV parts of one table for one percentage (partition-pruned)."""
-    schema = {
-        "labels": LABEL_SCHEMA,
-        "members": SAMPLE_MEMBER_SCHEMA,
-        "transactions": SAMPLE_TX_SCHEMA,
-        "logs": SAMPLE_LOG_SCHEMA,
-    }[table]
-    full = StructType(schema.fields + [StructField("sample_tier", IntegerType(), True)])
-    frame = read_csv_typed(spark, inputs.path(table), full)
+    frame = Store(spark, inputs.base).read(table, layer=SCALING_LAYER, header=True, mode="PERMISSIVE")
     return frame.filter(F.col("sample_tier") <= percentage).drop("sample_tier")
 
 
 def scaling_inventory(clean: CleanTables, cutoff: str = FEB, percentages=PCTS) -> DataFrame:
     """E3 inventory: rows of every table in every nested sample, one pass per table."""
-    labels = clean.labels_february.withColumn("sample_tier", sample_tier(percentages=percentages))
-    keys = labels.filter(F.col("sample_tier").isNotNull()).select("msno", "sample_tier")
-    tiers = {
-        "label_rows": labels,
-        "member_rows": clean.members.join(keys, "msno"),
-        "transaction_rows": asof.asof_window(clean.transactions, "transaction_date", cutoff, TX_DAYS).join(keys, "msno"),
-        "listening_rows": asof.daily_listening(
-            asof.asof_window(clean.user_logs, "event_date", cutoff, LOG_DAYS)
-        ).join(keys, "msno"),
-    }
+    cut = _sampled(clean, cutoff, percentages)
+    names = {"label_rows": "labels", "member_rows": "members", "transaction_rows": "transactions", "listening_rows": "logs"}
     out = None
-    for name, frame in tiers.items():
-        counts = nested_counts(frame, "sample_tier", percentages, name)
+    for name, table in names.items():
+        counts = nested_counts(cut[table], "sample_tier", percentages, name)
         out = counts if out is None else out.join(counts, "percentage")
     return out
 
 
+def scaling_input_report(spark: SparkSession, inputs: ScalingInputs, preparation_seconds: float, percentages=PCTS) -> DataFrame:
+    """E3 report: rows, files and compressed bytes of every nested sample as written, and the seconds that writing took.
+
+    Read from the committed files; a sample's files are those of the tiers up to it.
+    """
+    held = Store(spark, inputs.base).latest()
+    names = {"labels": "label_rows", "members": "member_rows", "transactions": "transaction_rows", "logs": "listening_rows"}
+    out, files = None, None
+    for e in held.entries(SCALING_LAYER):
+        counts = nested_counts(held.read(e.relation, layer=SCALING_LAYER, header=True), "sample_tier", percentages, names[e.relation])
+        out = counts if out is None else out.join(counts, "percentage")
+        listed = file_lengths(spark, e.path).withColumn("sample_tier", F.regexp_extract("path", r"sample_tier=(\d+)", 1).cast("int"))
+        files = listed if files is None else files.unionByName(listed)
+    upto = files.groupBy("sample_tier").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"))
+    sizes = upto.agg(*[F.coalesce(F.sum(F.when(F.col("sample_tier") <= p, F.col(x))), F.lit(0)).cast("long").alias(f"{x}{p}") for p in percentages for x in ("n", "b")])
+    rows = sizes.select(F.inline(F.array(*[F.struct(F.lit(p).alias("percentage"), F.col(f"n{p}").alias("input_files"), F.col(f"b{p}").alias("compressed_input_bytes")) for p in percentages])))
+    order = ["percentage", *names.values()]
+    return out.select(*order).join(rows, "percentage").withColumn("preparation_seconds_excluded_from_benchmark", F.lit(float(preparation_seconds)))
+
+
 # ----------------------------------------------------------------- E4
 def dedup_labels(labels: DataFrame) -> DataFrame:
     """U4: one label row per key with a fixed survivor (churned first)."""
     return latest_per_key(labels, "msno", [F.col("is_churn").desc()])
 
 
+def typed_sample(spark: SparkSession, inputs: ScalingInputs, percentage: int, cutoff: str = FEB) -> tuple:
+    """(labels, tenure per key, transactions, logs) of one sample with their dates."""
+    read = lambda table: read_sample(spark, inputs, table, percentage)
+    members = read("members").withColumn("registration_date", parse_iso_date("registration_date_raw"))
+    tx = read("transactions").withColumns({c: parse_iso_date(f"{c}_raw") for c in ("transaction_date", "membership_expire_date")})
+    logs = read("logs").withColumn("event_date", parse_iso_date("event_date_raw")).filter(F.col("total_secs") >= 0)
+    return dedup_labels(read("labels")), member_tenure(members, cutoff), tx, logs
+
+
 def scaling_features(spark: SparkSession, inputs: ScalingInputs, percentage: int, cutoff: str = FEB) -> DataFrame:
     """The feature table rebuilt from one sample (already windowed and cut)."""
-    c = F.lit(cutoff).cast("date")
-    labels = dedup_labels(read_sample(spark, inputs, "labels", percentage))
-    members = read_sample(spark, inputs, "members", percentage).withColumn(
-        "registration_date", parse_iso_date("registration_date_raw")
-    )
-    tx = (read_sample(spark, inputs, "transactions", percentage)
-          .withColumn("transaction_date", parse_iso_date("transaction_date_raw"))
-          .withColumn("membership_expire_date", parse_iso_date("membership_expire_date_raw")))
-    logs = (read_sample(spark, inputs, "logs", percentage)
-            .withColumn("event_date", parse_iso_date("event_date_raw"))
-            .filter(F.col("total_secs") >= 0))
-    membership = members.groupBy("msno").agg(
-        F.datediff(c, F.max("registration_date")).alias("membership_tenure_days")
-    )
-    t = asof.transaction_aggregates(tx, cutoff)
-    g = asof.listening_aggregates(logs, cutoff)
-    return feature_join(labels, membership, t, g)
+    labels, membership, tx, logs = typed_sample(spark, inputs, percentage, cutoff)
+    return feature_join(labels, membership, asof.transaction_aggregates(tx, cutoff), asof.listening_aggregates(logs, cutoff))
 
 
 def scaling_summary(spark: SparkSession, inputs: ScalingInputs, percentages=PCTS,
@@ -259,17 +282,7 @@ def scaling_summary(spark: SparkSession, inputs: ScalingInputs, percentages=PCTS
 def scaling_features_from_partials(spark: SparkSession, inputs: ScalingInputs, percentage: int,
                                    cutoff: str = FEB) -> DataFrame:
     """E4 twin: the same features by the mergeable-partials route."""
-    c = F.lit(cutoff).cast("date")
-    labels = dedup_labels(read_sample(spark, inputs, "labels", percentage))
-    members = read_sample(spark, inputs, "members", percentage).withColumn(
-        "registration_date", parse_iso_date("registration_date_raw"))
-    tx = (read_sample(spark, inputs, "transactions", percentage)
-          .withColumn("transaction_date", parse_iso_date("transaction_date_raw"))
-          .withColumn("membership_expire_date", parse_iso_date("membership_expire_date_raw")))
-    logs = (read_sample(spark, inputs, "logs", percentage)
-            .withColumn("event_date", parse_iso_date("event_date_raw"))
-            .filter(F.col("total_secs") >= 0))
-    membership = members.groupBy("msno").agg(F.datediff(c, F.max("registration_date")).alias("membership_tenure_days"))
+    labels, membership, tx, logs = typed_sample(spark, inputs, percentage, cutoff)
     t = asof.merge_transaction_partials(asof.partial_transactions(tx), cutoff)
     g = asof.merge_listening_partials(asof.daily_listening(logs), cutoff)
     return feature_join(labels, membership, t, g)
@@ -281,16 +294,7 @@ def stage_timings(spark: SparkSession, inputs: ScalingInputs, percentage: int, c
     listening, join) -- each step run whole into the noop sink."""
     from cohortlake.plans.measure import timed_noop
 
-    c = F.lit(cutoff).cast("date")
-    labels = dedup_labels(read_sample(spark, inputs, "labels", percentage))
-    members = read_sample(spark, inputs, "members", percentage).withColumn(
-        "registration_date", parse_iso_date("registration_date_raw"))
-    membership = members.groupBy("msno").agg(F.datediff(c, F.max("registration_date")).alias("membership_tenure_days"))
-    tx = (read_sample(spark, inputs, "transactions", percentage)
-          .withColumn("transaction_date", parse_iso_date("transaction_date_raw"))
-          .withColumn("membership_expire_date", parse_iso_date("membership_expire_date_raw")))
-    logs = (read_sample(spark, inputs, "logs", percentage)
-            .withColumn("event_date", parse_iso_date("event_date_raw")).filter(F.col("total_secs") >= 0))
+    labels, membership, tx, logs = typed_sample(spark, inputs, percentage, cutoff)
     t = asof.transaction_aggregates(tx, cutoff)
     g = asof.listening_aggregates(logs, cutoff)
     return {

@@ -33,16 +33,22 @@ def with_year_month(frame: DataFrame, date_col: str, prefix: str) -> DataFrame:
     return frame.withColumn(f"{prefix}_year", F.year(date_col)).withColumn(f"{prefix}_month", F.month(date_col))
 
 
-def write_partitioned_by_month(frame: DataFrame, path: str, date_col: str, prefix: str,
-                               key: str = "msno") -> str:
-    """Parquet partitioned by derived ``{prefix}_year`` / ``{prefix}_month``."""
+def month_layout(frame: DataFrame, date_col: str, prefix: str, key: str = "msno") -> tuple[DataFrame, tuple]:
+    """Rows laid out for writing by derived ``{prefix}_year`` / ``{prefix}_month``, and these columns."""
     y, m = f"{prefix}_year", f"{prefix}_month"
     laid_out = (
         with_year_month(frame, date_col, prefix)
         .hint("rebalance", y, m)
         .sortWithinPartitions(y, m, key)
     )
-    laid_out.write.mode("overwrite").partitionBy(y, m).parquet(path)
+    return laid_out, (y, m)
+
+
+def write_partitioned_by_month(frame: DataFrame, path: str, date_col: str, prefix: str,
+                               key: str = "msno") -> str:
+    """Parquet partitioned by month."""
+    laid_out, parts = month_layout(frame, date_col, prefix, key)
+    laid_out.write.mode("overwrite").partitionBy(*parts).parquet(path)
     return path
 
 

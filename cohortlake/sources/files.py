@@ -47,6 +47,11 @@ def run_sql_file(spark: SparkSession, name: str, frames: dict, params: dict) ->
 
 
 # ----------------------------------------------------------------- S15
+def file_lengths(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of every file below ``path``; contents are not read, ``_`` and ``.`` names are left out."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+
+
 def path_stats(spark: SparkSession, path: str) -> DataFrame:
     """(files, bytes) below ``path`` as a one-row DataFrame; missing path -> (0, 0).
 
@@ -55,13 +60,7 @@ def path_stats(spark: SparkSession, path: str) -> DataFrame:
     ``_SUCCESS`` markers are not counted.
     """
     try:
-        listing = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .load(path)
-            .select("length")
-        )
-        return listing.agg(
+        return file_lengths(spark, path).agg(
             F.count(F.lit(1)).alias("files"),
             F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("bytes"),
         )

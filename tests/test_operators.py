@@ -294,8 +294,6 @@ def test_plan_capture_written_as_json(spark, tmp_path):
 
 
 def test_incremental_refresh_rewrites_only_touched_months(spark, tmp_path):
-    import os
-
     from cohortlake.plans import refresh as R
 
     schema = "msno string, is_auto_renew int, transaction_date date, membership_expire_date date, is_cancel int"
@@ -305,12 +303,14 @@ def test_incremental_refresh_rewrites_only_touched_months(spark, tmp_path):
     labels = spark.createDataFrame([("a", 1)], "msno string, is_churn int")
     members = spark.createDataFrame([("a", D(2016, 1, 31))], "msno string, registration_date date")
     store = R.refresh_partials(R.PartialStore(str(tmp_path / "p")), tx, logs)
-    dec = tmp_path / "p" / "tx_daily" / "p_year=2016" / "p_month=12"
-    before = sorted(os.listdir(dec))
+    entry = lambda part: [e for e in store.open(spark).entries() if (e.relation, e.part) == ("tx_daily", part)]
+    december, january = entry("p_year=2016/p_month=12"), entry("p_year=2017/p_month=1")
+    assert len(december) == len(january) == 1
 
     more = tx.unionByName(spark.createDataFrame([("a", 1, D(2017, 1, 20), D(2017, 3, 1), 0)], schema))
     R.refresh_partials(store, more, logs, days=["2017-01-20"])
-    assert sorted(os.listdir(dec)) == before  # untouched month kept its files
+    assert entry("p_year=2016/p_month=12") == december  # untouched month kept its files
+    assert entry("p_year=2017/p_month=1")[0].path != january[0].path
 
     row = R.features_from_partials(spark, store, labels, members, "2017-01-31").collect()[0]
     assert row.transaction_count_90 == 3 and row.days_until_expiration == 29
