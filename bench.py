@@ -133,7 +133,7 @@ def main() -> None:
     staged_dir = scratch_path(spark, "bench-raw-typed")
     t0 = time.perf_counter()
     spark.sparkContext.setJobDescription("stage_raw_csv_to_parquet")
-    typed_pq = curate.stage_typed_raw(typed_csv, staged_dir)
+    typed_pq = curate.stage_counted_raw(pipeline.RawTables(**csv_raw), staged_dir)
     spark.sparkContext.setJobDescription(None)
     raw_staging_sec = time.perf_counter() - t0
 

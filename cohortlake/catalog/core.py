@@ -6,13 +6,20 @@ from cohortlake import oracle as O
 from cohortlake.config import CONFIG
 from cohortlake.operators import features as feat
 from cohortlake.operators import quality as q
-from cohortlake.plans import pipeline
+from cohortlake.plans import curate, pipeline
+from cohortlake.plans.stages import stage
 from cohortlake.registry import register
 
 FEB, MAR = CONFIG.cutoffs["february"], CONFIG.cutoffs["march"]
 FEATURE_DOUBLES = ("auto_renew_rate_90", "total_secs_30")
 
 
+def counted_stage(spark, sf) -> dict:
+    """The raw relations, typed and counted, as a stage of their own."""
+    base = stage(spark, sf, "counted", lambda b: curate.stage_counted_raw(pipeline.raw(spark, sf), b))
+    return curate.read_counted(spark, base)
+
+
 @register("clean_labels", "SELECT * FROM labels_february")
 def clean_labels(spark, sf):
     return q.clean_labels(pipeline.raw(spark, sf).train)
@@ -25,12 +32,14 @@ def clean_members(spark, sf):
 
 @register("clean_transactions", "SELECT * FROM transactions")
 def clean_transactions(spark, sf):
-    return pipeline.clean(spark, sf).transactions
+    """C3 from the counted rows: a filter and a projection, no shuffle."""
+    return q.clean_transactions(counted_stage(spark, sf)["transactions"])
 
 
 @register("clean_user_logs", "SELECT * FROM user_logs", doubles=("total_secs",))
 def clean_user_logs(spark, sf):
-    return pipeline.clean(spark, sf).user_logs
+    """C4 from the counted rows."""
+    return q.clean_user_logs(counted_stage(spark, sf)["user_logs"])
 
 
 @register("membership_features", "SELECT * FROM march_membership")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from cohortlake import oracle as O
-from cohortlake.catalog.core import SEGMENTS_SQL
+from cohortlake.catalog.core import SEGMENTS_SQL, counted_stage
 from cohortlake.config import CONFIG
 from cohortlake.functions.columns import hash_bucket, parse_iso_date
 from cohortlake.operators import features as feat
@@ -37,7 +37,7 @@ def raw_csv_stage(spark, sf):
 
 
 def curated_stage(spark, sf) -> curate.CuratedStage:
-    base = stage(spark, sf, "curated", lambda b: curate.write_stage(pipeline.clean(spark, sf), b))
+    base = stage(spark, sf, "curated", lambda b: curate.write_stage(q.clean_typed(counted_stage(spark, sf)), b))
     return curate.read_stage(spark, base)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortlake import oracle as O
+from cohortlake.catalog.core import counted_stage
 from cohortlake.config import CONFIG
 from cohortlake.functions.columns import (
     engagement_group,
@@ -65,7 +66,8 @@ O.view("quality_profile_full", _profile_sql(with_flags=True))
 
 @register("quality_profile", _profile_sql())
 def quality_profile(spark, sf):
-    return q.quality_profile(q.typed_views(pipeline.raw(spark, sf)))
+    """O1 from the counted rows."""
+    return q.quality_profile(counted_stage(spark, sf))
 
 
 def _dup_sql() -> str:
@@ -84,7 +86,8 @@ O.view("duplicate_profile_all", _dup_sql())
 
 @register("duplicate_profile", "SELECT * FROM duplicate_profile_all")
 def duplicate_profile(spark, sf):
-    return q.duplicate_profile(q.typed_views(pipeline.raw(spark, sf)))
+    """O2 from the counted rows: sums, no shuffle of rows."""
+    return q.duplicate_profile(counted_stage(spark, sf))
 
 
 O.view("clean_counts", """
@@ -116,9 +119,8 @@ def _treatment_sql() -> str:
 
 @register("treatment_summary", _treatment_sql())
 def treatment_summary(spark, sf):
-    raw = pipeline.raw(spark, sf)
-    typed = q.typed_views(raw)
-    clean = q.clean_all(raw)
+    typed = counted_stage(spark, sf)
+    clean = q.clean_typed(typed)
     return q.treatment_summary(
         q.quality_profile(typed, extra_measures=True), q.duplicate_profile(typed), clean.counts_frame()
     )

@@ -53,6 +53,25 @@ def typed_views(raw: RawTables) -> dict:
     }
 
 
+# --------------------------------------------------------------------------- counted rows
+#: Number of equal raw rows; a frame with this column holds each raw row once.
+COPIES = "copies"
+
+
+def counted_views(raw: RawTables) -> dict:
+    """The typed relations with equal raw rows as one row and their number.
+
+    One shuffle of whole rows for each table, combined in every task before it.
+    The quality profile, the duplicate profile and the cleaning all work on the
+    result: they weigh rows by ``copies``, count rows, or drop the column.
+    """
+    return typed_views(RawTables(**{t: f.groupBy(*f.columns).agg(F.count(F.lit(1)).alias(COPIES)) for t, f in raw.as_dict().items()}))
+
+
+def _weight(frame: DataFrame) -> Column:
+    return F.col(COPIES) if COPIES in frame.columns else F.lit(1).cast("long")
+
+
 # --------------------------------------------------------------------------- rule table
 def _ok(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
@@ -139,12 +158,12 @@ def keep_valid(frame: DataFrame, table: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- profiles (O1, O2)
 def _profile_one(frame: DataFrame, table: str, extra_measures: bool) -> DataFrame:
-    measures = {}
+    measures, weight = {}, _weight(frame)
     for r in rules_for(table):
-        measures[r.measure] = F.sum(F.when(~r.valid(), 1).otherwise(0)).cast("long")
+        measures[r.measure] = F.sum(F.when(~r.valid(), weight).otherwise(0)).cast("long")
     cols = [
         F.lit(table).alias("table_name"),
-        F.count(F.lit(1)).alias("input_rows"),
+        F.coalesce(F.sum(weight), F.lit(0)).cast("long").alias("input_rows"),
         F.count_distinct("msno").alias("distinct_users"),
     ]
     names = PROFILE_COLUMNS + (("invalid_flags",) if extra_measures else ())
@@ -179,11 +198,11 @@ def exact_duplicates(frame: DataFrame, columns) -> DataFrame:
     """One row: rows_before, exact_distinct_rows (NULLs compare equal).
 
     Grouping by the whole row is a two-phase hash aggregate: a hot duplicated
-    row is combined map-side before the shuffle.
+    row is combined map-side before the shuffle.  Counted rows are only summed.
     """
-    grouped = frame.groupBy(*columns).count()
+    grouped = frame if COPIES in frame.columns else frame.groupBy(*columns).agg(F.count(F.lit(1)).alias(COPIES))
     return grouped.agg(
-        F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("rows_before"),
+        F.coalesce(F.sum(COPIES), F.lit(0)).cast("long").alias("rows_before"),
         F.count(F.lit(1)).alias("exact_distinct_rows"),
     )
 
@@ -236,14 +255,23 @@ TRANSACTION_COLUMNS = (
 LOG_COLUMNS = ("msno", "event_date", *PLAY_COUNT_COLUMNS, "total_secs")
 
 
+def _distinct(frame: DataFrame, columns: tuple) -> DataFrame:
+    """Each row once; counted rows are that already.
+
+    Typed columns differ where raw ones do: a text that parses as yyyyMMdd is the
+    only one of its date (tests hold this), and rows that do not parse are gone.
+    """
+    return frame.select(*columns) if COPIES in frame.columns else frame.select(*columns).distinct()
+
+
 def clean_transactions(typed_tx: DataFrame) -> DataFrame:
     """All rules, then exact dedup on the nine typed columns."""
-    return keep_valid(typed_tx, "transactions").select(*TRANSACTION_COLUMNS).distinct()
+    return _distinct(keep_valid(typed_tx, "transactions"), TRANSACTION_COLUMNS)
 
 
 def clean_user_logs(typed_logs: DataFrame) -> DataFrame:
     """C4: all rules, then exact dedup."""
-    return keep_valid(typed_logs, "user_logs").select(*LOG_COLUMNS).distinct()
+    return _distinct(keep_valid(typed_logs, "user_logs"), LOG_COLUMNS)
 
 
 @dataclass(frozen=True)
@@ -271,10 +299,14 @@ class CleanTables:
 
 
 def clean_all(raw: RawTables) -> CleanTables:
-    typed = typed_views(raw)
+    return clean_typed(typed_views(raw))
+
+
+def clean_typed(typed: dict) -> CleanTables:
+    """C1-C4 of typed relations, counted or not."""
     return CleanTables(
-        labels_february=clean_labels(raw.train),
-        labels_march=clean_labels(raw.train_v2),
+        labels_february=clean_labels(typed["train"]),
+        labels_march=clean_labels(typed["train_v2"]),
         members=clean_members(typed["members_v3"]),
         transactions=clean_transactions(typed["transactions"]),
         user_logs=clean_user_logs(typed["user_logs"]),

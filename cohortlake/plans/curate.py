@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortlake.config import CONFIG
 from cohortlake.operators.features import build_cohort
-from cohortlake.operators.quality import CleanTables
+from cohortlake.operators.quality import TABLE_ORDER, CleanTables, counted_views
 from cohortlake.plans.committed import Store
 from cohortlake.sinks.writers import month_layout
+from cohortlake.sources.fixtures import RawTables
 
 TX_PARTITIONS = ("tx_year", "tx_month")
 LOG_PARTITIONS = ("event_year", "event_month")
@@ -42,18 +43,22 @@ class CuratedStage:
         )
 
 
-def stage_typed_raw(typed: dict, base: str) -> dict:
-    """Parse the raw CSV once into typed Parquet and read it back.
+def stage_counted_raw(raw: RawTables, base: str) -> dict:
+    """Parse the raw tables once, as typed rows with their number of copies, and read them back.
 
-    Profiling, exact-duplicate counting and cleaning each read the raw tables;
-    from Parquet they read only the columns they use instead of parsing the
-    CSV text three times.  Raw date text stays beside the parsed dates, so
-    every profile rule keeps its meaning.
+    Profiling, exact-duplicate counting and cleaning each read this copy, the
+    columns they use; whole rows are shuffled once, here.  Raw date text stays
+    beside the parsed dates, so every profile rule keeps its meaning.
     """
-    store = Store(next(iter(typed.values())).sparkSession, base)
-    names = {name: f"raw_typed_{name}" for name in typed}
-    store.commit([store.write(names[name], frame, RAW_LAYER) for name, frame in typed.items()])
-    return {name: store.read(names[name]) for name in typed}
+    typed = counted_views(raw)
+    store = Store(raw.train.sparkSession, base)
+    store.commit([store.write(f"raw_typed_{name}", frame, RAW_LAYER) for name, frame in typed.items()])
+    return read_counted(store.spark, base)
+
+
+def read_counted(spark: SparkSession, base: str) -> dict:
+    held = Store(spark, base).latest()
+    return {name: held.read(f"raw_typed_{name}") for name in TABLE_ORDER}
 
 
 def write_features(stage: CuratedStage, cohorts=("february", "march"), cutoffs: dict | None = None) -> dict:
