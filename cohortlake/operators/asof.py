@@ -12,8 +12,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlake.config import CONFIG
 from cohortlake.functions.columns import date_window
@@ -76,11 +77,27 @@ def transaction_aggregates(windowed: DataFrame, cutoff: str, key: str = CONFIG.k
     )
 
 
-def listening_aggregates(windowed: DataFrame, cutoff: str, key: str = CONFIG.key) -> DataFrame:
+def active_days(date_col: str, cutoff: str, days: int) -> Column:
+    """Aggregate: distinct days of the window that ends at ``cutoff``, one bit for each.
+
+    The state is a long for every 64 days and merges by OR, so it is a plain hash
+    aggregate with one shuffle; a distinct count shuffles by (key, day) first.
+    Any number of rows a day is right, and days outside the window count for nothing.
+    """
+    back = F.datediff(F.lit(cutoff).cast("date"), F.col(date_col))
+    words = []
+    for first in range(0, days, 64):
+        inside = back.between(first, min(first + 64, days) - 1)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), back - first)
+        words.append(F.coalesce(F.bit_count(F.bit_or(F.when(inside, bit))), F.lit(0)))
+    return reduce(lambda a, b: a + b, words).cast("long")
+
+
+def listening_aggregates(windowed: DataFrame, cutoff: str, key: str = CONFIG.key, days: int = CONFIG.listening_days) -> DataFrame:
     """A5 over rows already cut to the window."""
     c = F.lit(cutoff).cast("date")
     return windowed.groupBy(key).agg(
-        F.count_distinct("event_date").alias("active_days_30"),
+        active_days("event_date", cutoff, days).alias("active_days_30"),
         F.sum("total_secs").alias("total_secs_30"),
         F.datediff(c, F.max("event_date")).alias("days_since_last_listen"),
     )
@@ -129,10 +146,10 @@ def merge_transaction_partials(partials: DataFrame, cutoff: str, days: int = CON
 
 def merge_listening_partials(daily: DataFrame, cutoff: str, days: int = CONFIG.listening_days,
                              key: str = CONFIG.key) -> DataFrame:
-    """Day count is a plain count because ``daily`` has one row per key-day."""
+    """The days' bits merge by OR, so partials of a day may come in several rows."""
     c = F.lit(cutoff).cast("date")
     return asof_window(daily, "event_date", cutoff, days).groupBy(key).agg(
-        F.count(F.lit(1)).alias("active_days_30"),
+        active_days("event_date", cutoff, days).alias("active_days_30"),
         F.sum("total_secs").alias("total_secs_30"),
         F.datediff(c, F.max("event_date")).alias("days_since_last_listen"),
     )

@@ -77,7 +77,7 @@ def listening_features(
 ) -> DataFrame:
     """Active days, seconds, recency over the listening window."""
     windowed = asof_window(user_logs, "event_date", cutoff, days, partition_cols)
-    return cohort_aggregate(windowed, labels, lambda f: listening_aggregates(f, cutoff), restrict=restrict)
+    return cohort_aggregate(windowed, labels, lambda f: listening_aggregates(f, cutoff, days=days), restrict=restrict)
 
 
 def feature_join(labels: DataFrame, membership: DataFrame, tx: DataFrame, listening: DataFrame,

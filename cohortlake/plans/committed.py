@@ -20,11 +20,10 @@ import json
 import uuid
 from dataclasses import asdict, dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from cohortlake.sources.files import inventory, path_stats
+from cohortlake.sources.files import inventory, path_exists, path_stats
 
 MANIFEST = "commit string, layer string, relation string, part string, path string, format string, rows long, digest string, schema string"
 
@@ -136,12 +135,9 @@ class Store:
     # ------------------------------------------------------------- reading
     def latest(self) -> Snapshot:
         """The latest manifest; version 0 and nothing where there is none."""
-        try:
-            rows = self.spark.read.schema(f"{MANIFEST}, version int").json(self.manifests)
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" not in str(exc):
-                raise
+        if not path_exists(self.spark, self.manifests):
             return Snapshot(self, 0, ())
+        rows = self.spark.read.schema(f"{MANIFEST}, version int").json(self.manifests)
         found = rows.where(F.col("version") == rows.select(F.max("version")).scalar()).collect()
         if len({r["commit"] for r in found}) > 1:
             raise RuntimeError(f"two writers committed version {found[0]['version']} of {self.base}")

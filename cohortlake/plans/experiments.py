@@ -57,11 +57,11 @@ def cohort_fan_out(labels: DataFrame, logs: DataFrame, tx: DataFrame) -> DataFra
     return asof.restrict_to_cohort(fan_out(logs, tx), labels)
 
 
-def aggregate_first_join(labels: DataFrame, logs: DataFrame, tx: DataFrame) -> DataFrame:
+def aggregate_first_join(labels: DataFrame, logs: DataFrame, tx: DataFrame, cutoff: str = FEB) -> DataFrame:
     return aggregate_then_join(
         labels.select("msno"),
         [
-            (logs, [F.count_distinct("event_date").alias("active_days_30"), F.sum("total_secs").alias("total_secs_30")]),
+            (logs, [asof.active_days("event_date", cutoff, LOG_DAYS).alias("active_days_30"), F.sum("total_secs").alias("total_secs_30")]),
             (tx, [
                 F.count(F.lit(1)).alias("transaction_count_90"),
                 F.avg(F.col("is_auto_renew").cast("double")).alias("auto_renew_rate_90"),
@@ -87,7 +87,7 @@ def join_strategy(clean: CleanTables, cutoff: str = FEB, sample: tuple[int, int]
         F.coalesce(F.sum(F.col("l") * F.col("t")), F.lit(0)).cast("long").alias("raw_rows"),
     )
     users = labels.select(F.count(F.lit(1))).scalar()
-    agg_rows = aggregate_first_join(labels, logs, tx).select(F.count(F.lit(1))).scalar()
+    agg_rows = aggregate_first_join(labels, logs, tx, cutoff).select(F.count(F.lit(1))).scalar()
     with_scalars = stats.select("*", users.alias("users"), agg_rows.alias("agg_rows"))
 
     def row(name, out):
@@ -109,7 +109,7 @@ def window_aggregate(logs: DataFrame, cutoff: str = FEB, days: int = LOG_DAYS,
                      partition_cols: tuple | None = None) -> DataFrame:
     windowed = asof.asof_window(logs, "event_date", cutoff, days, partition_cols)
     return windowed.groupBy("msno").agg(
-        F.count_distinct("event_date").alias("active_days_30"),
+        asof.active_days("event_date", cutoff, days).alias("active_days_30"),
         F.sum("total_secs").alias("total_secs_30"),
     )
 

@@ -47,6 +47,12 @@ def run_sql_file(spark: SparkSession, name: str, frames: dict, params: dict) ->
 
 
 # ----------------------------------------------------------------- S15
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in whatever file system Spark reads it from."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def file_lengths(spark: SparkSession, path: str) -> DataFrame:
     """(path, length) of every file below ``path``; contents are not read, ``_`` and ``.`` names are left out."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")

@@ -352,3 +352,22 @@ def test_member_tenure_and_stack_by_name(spark):
     assert sorted(map(tuple, tenure.collect())) == [("a", 20), ("b", None)]
     stacked = joins.stack_by_name([tenure, spark.sql("SELECT 'c' AS msno, 1 AS other")])
     assert sorted(map(tuple, stacked.collect())) == [("a", 20, None), ("b", None, None), ("c", None, 1)]
+
+
+def test_active_days_as_bits(spark):
+    import random
+
+    from cohortlake.operators import asof
+    from cohortlake.plans.measure import physical_plan
+
+    rng = random.Random(4)
+    end = D(2017, 3, 1)
+    rows = [(rng.choice("abc"), end - dt.timedelta(days=rng.randint(-5, 220))) for _ in range(800)] + [("d", None)]
+    frame = spark.createDataFrame(rows, "msno string, event_date date").repartition(8)
+    for days in (1, 30, 64, 65, 200):
+        got = {r.msno: r.n for r in frame.groupBy("msno").agg(asof.active_days("event_date", "2017-03-01", days).alias("n")).collect()}
+        want = {k: len({d for m, d in rows if m == k and d is not None and 0 <= (end - d).days < days}) for k in "abcd"}
+        assert got == want, days
+    windowed = frame.withColumn("total_secs", F.lit(1.0))
+    plan = physical_plan(asof.listening_aggregates(windowed, "2017-03-01"), "simple")
+    assert "Expand" not in plan and plan.count("hashpartitioning") == 1
