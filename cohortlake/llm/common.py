@@ -32,6 +32,14 @@ def stored(frame: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name`` with underscores in front until no column of ``frame`` has it (in any case)."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows whose ``column`` holds about ``limit`` bytes at most.
 

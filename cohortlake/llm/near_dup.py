@@ -22,8 +22,11 @@ Work flow, all of it Spark jobs over tables in the shared scratch folder:
    each key of all tables against one hub of another component.  What is left
    are candidates of different components; these are tested on small sketches
    inside tasks of bounded blocks, which can let a pair through in error but
-   never stop one, and only pairs that pass are rows and are confirmed.  So a
-   group of thousands of near copies makes rows by its size, not its square.
+   never stop one, and only pairs that pass are rows and are confirmed.  A key
+   that common text has filled beyond a block is refined by its nodes' rarest
+   shingles, of which a linked pair shares one.  So a group of thousands of
+   near copies, or of texts with a common passage, makes rows by its size, not
+   its square.
 
 Results are exact up to ``miss``: no bucket, partner or candidate is capped.
 
@@ -41,9 +44,9 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortlake.llm.common import sliced, stored, utf8
+from cohortlake.llm.common import free_name, sliced, stored, utf8
 
 MIX = 0x9E3779B97F4A7C15
 WORDS_HELD = 500_000
@@ -114,8 +117,13 @@ def set_digest(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
+def text_key(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, keys) of every row; digest and keys are null for empty sets."""
+    """(doc_id, text_key, n_shingles, digest, keys) of every row; digest and keys are null for empty sets."""
 
     def run(batches):
         words = WordHashes()
@@ -127,11 +135,12 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                 for i, row in zip(full, small_keys([sets[i] for i in full], bands, rows).view(np.int64)):
                     digests[i], keys[i] = set_digest(sets[i]), row
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "keys"],
+                [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "text_key", "n_shingles", "digest", "keys"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_key(F.col("text")).alias("text_key"))
+    return texts.mapInArrow(run, "doc_id long, text_key long, n_shingles long, digest binary, keys array<long>")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -193,23 +202,54 @@ def hub_pairs(hits: DataFrame, labels: DataFrame) -> DataFrame:
     hubs = held.groupBy("key").agg(
         F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node", "comp")).alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
-    hubs = hubs.where("low <> high").select("key", F.col("hub.node").alias("hub"), F.col("hub.comp").alias("hub_comp"))
+    # Written first: beside its own aggregate a hot key's nodes could not be split in the join.
+    hubs = stored(hubs.where("low <> high").select("key", F.col("hub.node").alias("hub"), F.col("hub.comp").alias("hub_comp")), "hubs")
     return held.join(hubs, "key").where("comp <> hub_comp").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
 
 
-def open_pairs(nodes: DataFrame, labels: DataFrame, sketches: DataFrame, bands: int, percent: int) -> DataFrame:
+def mixed_keys(held: DataFrame) -> DataFrame:
+    """(key, c) of the keys (key, node, comp) that hold more than one component; a written table."""
+    found = held.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("c")).where("low <> high")
+    return stored(found.select("key", "c"), "mixed-keys")
+
+
+def rare_shingles(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node, comp): the rarest shingles of each node, as many as a link must share one of.
+
+    Two sets that link have ``percent`` / 100 of either in common, so of the
+    n - ceil(n * percent / 100) + 1 first shingles of each, in one order of all, one
+    is common.  The order is by the number of nodes in the crowd, rarest first:
+    what many of them hold by way of boilerplate comes last.
+    """
+    said = crowd.join(sets.select("node", "n", "shingles"), "node").select("node", "comp", "n", F.explode("shingles").alias("s"))
+    counts = stored(said.groupBy("s").agg(F.count("*").alias("c")).where("c > 1"), "crowd-shingles")
+    ordered = said.join(counts, "s", "left").groupBy("node", "comp", "n").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("c", F.lit(1)).alias("c"), "s"))).alias("own"))
+    first = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    prefix = ordered.select("node", "comp", F.explode(F.slice("own", F.lit(1), first)).alias("x")).where("x.c > 1")
+    return prefix.select(F.xxhash64("x.s").alias("key"), "node", "comp")
+
+
+def open_pairs(nodes: DataFrame, labels: DataFrame, sets: DataFrame, bands: int, percent: int) -> DataFrame:
     """The pairs of different components that share a key of the first collection and may link.
 
-    A key's nodes are dealt into blocks of about ``BLOCK``, a task holds two
-    blocks, and tests their pairs on the sketches; only pairs that pass are
-    rows.  Sharing a table key implies sharing one of these, so no candidate
-    is left out.
+    Sharing a table key implies sharing one of these, so no candidate is left
+    out.  The nodes of a key meet in one task, which tests their pairs on the
+    sketches; only pairs that pass are rows.  A key with more than ``BLOCK`` nodes
+    in different components is common text: its nodes meet by their rarest shingles
+    instead, which is exact.  Where even such a shingle has more nodes, they are
+    dealt into blocks and a task holds two.
     """
     keys = F.posexplode(F.slice("keys", 1, bands)).alias("band", "small")
     held = nodes.join(labels, "node").select("node", "comp", keys).select("node", "comp", F.xxhash64("band", "small").alias("key"))
-    mixed = held.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("c")).where("low <> high")
-    blocks = F.ceil(F.col("c") / BLOCK)
-    dealt = held.join(mixed.select("key", blocks.alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    held = stored(held, "open-keys")
+    mixed = mixed_keys(held)
+    crowd = stored(held.join(mixed.where(F.col("c") > BLOCK).select("key"), "key").select("node", "comp").distinct(), "crowd")
+    met = held.join(mixed.where(F.col("c") <= BLOCK).select("key", F.lit(1).cast("long").alias("blocks")), "key")
+    if not crowd.isEmpty():
+        rare = stored(rare_shingles(crowd, sets, percent), "rare-shingles")
+        met = met.unionByName(rare.join(mixed_keys(rare).select("key", F.ceil(F.col("c") / BLOCK).alias("blocks")), "key"))
+    sketches = sets.select("node", "n", "sketch")
+    dealt = met.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     places = dealt.select("key", "node", "comp", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     groups = places.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node", "comp")
     sent = groups.join(sketches, "node").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
@@ -267,19 +307,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rows: in
     of distinct ``width``-word shingles; ``component_id`` is the smallest
     doc_id reachable over links, ``kept`` marks the document that has it.
     """
+    return classes(docs, width, percent, rows, miss).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def classes(docs: DataFrame, width: int, percent: int, rows: int = 3, miss: float = 1e-4) -> DataFrame:
+    """``near_duplicates`` with ``text_key`` of each row's text and ``comp``, the number of its component (null for empty sets)."""
     bands = bands_for(percent / 100, rows, miss)
     signed = stored(signatures(docs, width, bands, rows), "signatures")
-    classes = (
+    sets_of_words = (
         signed.where("digest is not null and doc_id is not null")
         .groupBy("digest")
         .agg(F.min("doc_id").alias("min_doc"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
     )
-    nodes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes = stored(sets_of_words.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # One row per node and table.
-    tables = F.array(*[F.struct(F.xxhash64(F.col("keys")[i], F.col("keys")[bands + j], F.lit(i * bands + j)).alias("key"), F.lit(i == j).alias("diagonal")) for i in range(bands) for j in range(bands)])
-    dealt = nodes.select("node", F.explode(tables).alias("t")).select("node", "t.key", "t.diagonal")
-    shared = dealt.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    pair = nodes.select("node", "keys", F.explode(F.expr(f"sequence(0, {bands * bands - 1})")).alias("t"))
+    dealt = pair.select("node", F.expr(f"xxhash64(keys[t div {bands}], keys[{bands} + t % {bands}], t)").alias("key"), F.expr(f"t div {bands} = t % {bands}").alias("diagonal"))
+    shared = stored(dealt.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "shared-keys")
     hits = stored(dealt.join(shared, "key"), "hits")
 
     active = hits.select("node").distinct().join(nodes.select("node", "digest", "min_doc"), "node")
@@ -291,28 +336,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rows: in
     labels = live.select("node", F.col("node").alias("comp"))
     labels = merged(labels, confirmed(hub_pairs(hits.where("diagonal").select("key", "node"), labels), sets, percent))
     labels = merged(labels, confirmed(hub_pairs(hits.select("key", "node"), labels), sets, percent))
-    sketches = sets.select("node", "n", "sketch")
-    labels = merged(labels, confirmed(open_pairs(nodes, labels, sketches, bands, percent), sets, percent))
+    labels = merged(labels, confirmed(open_pairs(nodes, labels, sets, bands, percent), sets, percent))
 
     placed = nodes.select("node", "digest", "min_doc").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = placed.groupBy("comp").agg(F.min("min_doc").alias("component_id"))
-    found = placed.join(least, "comp").select("digest", "component_id")
-    out = signed.select("doc_id", "n_shingles", "digest").join(found, "digest", "left")
+    found = stored(placed.join(least, "comp").select("digest", "component_id", "comp"), "components")
+    out = signed.select("doc_id", "text_key", "n_shingles", "digest").join(found, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "text_key", "n_shingles", "comp", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component, columns unchanged.
 
-    An id stands for one document: it goes if one of its rows has to, and rows
-    that repeat both id and text leave one.  Null ids stay.
+    Rows go by (doc_id, text): an id that stands on several texts loses those that
+    are copies and keeps the others.  Of a component's rows with its smallest id,
+    one text stays, and of rows that repeat both id and text, one.  Null ids stay.
     """
-    found = stored(near_duplicates(docs, width, percent), "near-duplicates")
-    gone = stored(found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    left = docs.join(gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
-    repeated = stored(found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("__again")).count().where("count > 1").select("__again"), "repeated-ids")
-    if repeated.isEmpty():
+    found = stored(classes(docs, width, percent).where("doc_id is not null"), "near-duplicates")
+    row_id, row_key = (free_name(docs, x) for x in ("id", "key"))
+    names = F.col("doc_id").alias(row_id), F.col("text_key").alias(row_key)
+    one = found.where("kept and comp is not null").groupBy("comp").agg(F.min("text_key").alias("first"), F.max("text_key").alias("last"))
+    spare = found.where("kept").join(one.where("first <> last"), "comp").where("text_key <> first")
+    gone = stored(found.where("not kept").select(*names).union(spare.select(*names)).distinct(), "gone")
+    is_row = (docs["doc_id"].cast("long") == F.col(row_id)) & (text_key(docs["text"]) == F.col(row_key))
+    left = docs.join(gone, is_row, "left_anti")
+    again = stored(found.where("kept").groupBy(*names).count().where("count > 1").drop("count"), "repeated-rows")
+    if again.isEmpty():
         return left
-    again = left["doc_id"].cast("long") == F.col("__again")
-    return left.join(repeated, again, "left_anti").union(left.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return left.join(again, is_row, "left_anti").union(left.join(again, is_row, "left_semi").dropDuplicates(["doc_id", "text"]))
