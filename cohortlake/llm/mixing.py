@@ -150,8 +150,10 @@ class Mixture:
 
     def rows(self) -> DataFrame:
         """The drawn documents, a row each time, with shard, draw and slot (order within the shard)."""
-        placed = _keyed(self.docs, self.seed).join(self.sources.select("__key", "n_blocks"), "__key").withColumn("__block", F.pmod("__h", "n_blocks"))
+        # Own columns of the plan begin with two underscores; those of the documents take other names meanwhile.
+        held = [c if c in ("doc_id", "text", "source") else f"__c{i}" for i, c in enumerate(self.docs.columns)]
+        placed = _keyed(self.docs.toDF(*held), self.seed).join(self.sources.select("__key", "n_blocks"), "__key").withColumn("__block", F.pmod("__h", "n_blocks"))
         drawn = placed.join(self.draws, ["__key", "__block"]).where(F.col("cutoff").isNull() | (F.xxhash64("__h") <= F.col("cutoff")))
         slot = F.xxhash64(F.lit(self.seed), "shard", "draw", "__h")
         mixed = drawn.withColumn("slot", slot).repartition(F.col("shard"), F.pmod("slot", F.lit(64))).sortWithinPartitions("shard", "slot")
-        return mixed.select(*self.docs.columns, *ADDED)
+        return mixed.select(*[F.col(h).alias(c) for h, c in zip(held, self.docs.columns)], *ADDED)

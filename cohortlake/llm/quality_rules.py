@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cohortlake.llm.common import free_name
+
 BLANKS = "\t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MARKS = "!?"
@@ -77,9 +79,10 @@ def measures(docs: DataFrame) -> DataFrame:
     of_words = let(words, lambda w: F.struct(
         F.size(w).alias("n"), F.size(F.filter(w, lambda x: F.lower(x).isin(*STOP_WORDS))).alias("stop"), repeated_words(w).alias("repeat")))
     of_lines = let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
-    held = docs.select(*[c for c in docs.columns if c not in COUNTS], of_words.alias("__w"), of_lines.alias("__l"),
-        F.length(F.translate(text, BLANKS + " ", "")).alias("__chars"), occurrences(text, SYMBOLS).alias("__symbols"), occurrences(text, MARKS).alias("__marks"))
-    values = ("__w.n", "__chars", "__symbols", "__marks", "__w.stop", "__l.n", "__l.dup", "__w.repeat")
+    w, ln, chars, symbols, marks = (free_name(docs, x) for x in ("w", "l", "chars", "symbols", "marks"))
+    held = docs.select(*[c for c in docs.columns if c not in COUNTS], of_words.alias(w), of_lines.alias(ln),
+        F.length(F.translate(text, BLANKS + " ", "")).alias(chars), occurrences(text, SYMBOLS).alias(symbols), occurrences(text, MARKS).alias(marks))
+    values = (f"{w}.n", chars, symbols, marks, f"{w}.stop", f"{ln}.n", f"{ln}.dup", f"{w}.repeat")
     made = [F.col(v).cast("long").alias(c) for c, v in zip(COUNTS, values)]
     return held.select(*[c for c in docs.columns if c not in COUNTS], *made)
 

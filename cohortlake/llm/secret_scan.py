@@ -111,9 +111,14 @@ def scanner(ranks_file, min_chars: int, max_ratio: float):
 
     def spans(text: str) -> list[tuple[int, int, int]]:
         base = base_spans(text)
-        added = []
+        added, near, seen = [], [], 0
         for m in runs.finditer(text):
-            for s, e, pieces in parts(text, m.start(), m.end(), [x for x in base if x[0] < m.end() and m.start() < x[2]]):
+            # Base spans and runs both go forward: those that end before this run are done with.
+            while seen < len(base) and base[seen][0] < m.end():
+                near.append(base[seen])
+                seen += 1
+            near = [x for x in near if m.start() < x[2]]
+            for s, e, pieces in parts(text, m.start(), m.end(), near):
                 if e - s < min_chars or not LETTER.search(text, s, e):
                     continue
                 if (e - s) / tokens(text[s:e]) < max_ratio:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from cohortlake.llm.common import sliced, stored, utf8
+from cohortlake.llm.common import free_name, sliced, stored, utf8
 
 RUN_WORDS = 20
 # CONTEXT + 2 * WINDOW - 1 + RUN_WORDS = 51: the least length of a shared passage that surely holds a unit.
@@ -195,17 +195,17 @@ def _keys(batches):
 
 def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text`` wherever none of their units occurs for the first time."""
-    gone = repeated_passages(docs, run_words).where("first_words = 0").groupBy("doc_id", "key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
-    schema = docs.schema
+    gone = repeated_passages(docs, run_words).where("first_words = 0").groupBy("doc_id", "key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cut"))
+    schema, own_key, own_spans = docs.schema, free_name(docs, "key"), free_name(docs, "spans")
 
     def keyed(batches):
         for batch in sliced(batches, "text"):
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([text_key(t) for t in utf8(batch, "text")], pa.int64())], names=[*batch.schema.names, "__key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([text_key(t) for t in utf8(batch, "text")], pa.int64())], names=[*batch.schema.names, own_key])
 
     def cut(batches):
         for batch in sliced(batches, "text"):
             texts = utf8(batch, "text")
-            for i, spans in enumerate(batch.column("__spans").to_pylist()):
+            for i, spans in enumerate(batch.column(own_spans).to_pylist()):
                 for span in reversed(spans or ()):
                     texts[i] = texts[i][: span["start"]] + texts[i][span["end"] :]
             columns = dict(zip(batch.schema.names, batch.columns))
@@ -213,6 +213,6 @@ def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
             columns["text"] = pa.compute.if_else(pa.compute.is_null(columns["text"]), pa.nulls(len(texts), pa.string()), text).cast(columns["text"].type)
             yield pa.RecordBatch.from_arrays([columns[c] for c in schema.fieldNames()], names=schema.fieldNames())
 
-    with_key = docs.mapInArrow(keyed, StructType([*schema.fields, StructField("__key", LongType())]))
-    held = with_key.alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.__key") == F.col("g.key")), "left")
-    return held.select(*[F.col(f"d.{c}") for c in docs.columns], "__spans").mapInArrow(cut, schema)
+    with_key = docs.mapInArrow(keyed, StructType([*schema.fields, StructField(own_key, LongType())]))
+    held = with_key.alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col(f"d.`{own_key}`") == F.col("g.key")), "left")
+    return held.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("g.cut").alias(own_spans)).mapInArrow(cut, schema)
