@@ -6,10 +6,10 @@ the shared scratch folder and read back as the input of the next.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlake.llm import decontaminate, mixing, near_dup, quality_classifier, secret_scan
-from cohortlake.llm.common import stored, table
+from cohortlake.llm.common import free_name, stored, table
 
 REJECT_BELOW = 0.3
 
@@ -18,7 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores at 0.3 or more."""
     weights = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
     names = docs.columns
-    return quality_classifier.scored(docs, weights, "__score").where(f"__score >= {REJECT_BELOW}").select(*names)
+    score = free_name(docs, "score")
+    return quality_classifier.scored(docs, weights, score).where(F.col(score) >= REJECT_BELOW).select(*names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
