@@ -31,6 +31,7 @@ result.  Other columns are not read.
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from itertools import count, islice
 
@@ -45,7 +46,8 @@ WIDTH = 5
 UNKNOWN = "und"
 #: Lower case of A-Z; separators of pieces become line ends, those of words blanks.
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
-SLICE = 16 << 20
+#: Bytes of text that a task counts at once, and rows that it hands on at once; both bound its memory.
+SLICE, ROWS = 6 << 20, 50_000
 #: Words that a task numbers before it begins again, which bounds its memory.
 MOST_WORDS = 2_000_000
 #: Buckets of a block of the filter.
@@ -61,18 +63,18 @@ class Words:
 
     def read(self, texts: list[bytes]) -> np.ndarray:
         """The words of the texts in order, 0 after each piece."""
-        number, out, zero = self.numbers.__getitem__, [], (0,)
+        number, out = self.numbers.__getitem__, array("q")
         for text in texts:
             for piece in text.translate(FOLD).split(b"\n"):
                 words = piece.split()
                 if words:
                     out.extend(map(number, words))
-                    out.extend(zero)
+                    out.append(0)
         new = list(islice(self.numbers, len(self.words) - 1, None))
         if new:
             self.words += new
             self.hashes = np.concatenate([self.hashes, np.fromiter((xxhash.xxh3_64_intdigest(w) for w in new), np.uint64, len(new))])
-        return np.array(out, np.int64)
+        return np.frombuffer(out, np.int64)
 
     def pair_buckets(self, stream: np.ndarray, lang: bytes, bits: int) -> np.ndarray:
         """Bucket of each word with the next."""
@@ -164,12 +166,13 @@ def _grams(texts: DataFrame, width: int, bits: int, bitmap) -> DataFrame:
         for lang, stream, words in _by_language(batches):
             links = (stream[:-1] > 0) & (stream[1:] > 0) & holds(words.pair_buckets(stream, lang.encode(), bits))
             at, length, n = cut_grams(stream, links, width)
-            names, ids = words.words, stream.tolist()
-            grams = [b" ".join([names[w] for w in ids[i : i + k]]) for i, k in zip(at.tolist(), length.tolist())]
-            m = len(grams)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * (m + 1), pa.string()), pa.array([*grams, b""], pa.binary()).cast(pa.string()), pa.array([*length.tolist(), 0], pa.int32()),
-                 pa.array([*n.tolist(), int((stream > 0).sum())], pa.int64())], names=["lang", "gram", "k", "n"])
+            yield counted(lang, [b""], [0], [int((stream > 0).sum())])
+            for some in np.split(np.arange(len(at)), range(ROWS, len(at), ROWS)):
+                grams = [b" ".join([words.words[w] for w in stream[i : i + k]]) for i, k in zip(at[some].tolist(), length[some].tolist())]
+                yield counted(lang, grams, length[some], n[some])
+
+    def counted(lang, grams, k, n):
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.binary()).cast(pa.string()), pa.array(k, pa.int32()), pa.array(n, pa.int64())], names=["lang", "gram", "k", "n"])
 
     return texts.mapInArrow(run, "lang string, gram string, k int, n long")
 
