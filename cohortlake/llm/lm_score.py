@@ -8,11 +8,19 @@ classes) gives the class, and the corpus counts give the word within its
 class.  A document's score is the sum of its tokens' conditional
 log-probabilities.
 
+Texts are split into words twice: for the counts, and once more when every
+token's class number is written, a byte each, beside the row.  Training and
+scoring read these bytes.
+
 Training covers every document once: it runs in ``ROUNDS`` rounds over
-disjoint parts of the corpus (by hash).  In a round each task trains a copy of
-the network on its rows and hands in the weights times their tokens; Spark
-sums them, and the mean starts the next round.  The driver only ever holds one
-set of weights (fixed size) and the frequent words (``TOP``, fixed size).
+disjoint parts of the corpus.  In a round each part trains a copy of the network
+and hands in the weights times its tokens; Spark sums them, and the mean starts
+the next round.  Rounds and parts are dealt by a hash of doc_id and text, in the
+order of the hash, and the number of parts follows from that of the tokens (its
+square root, so that parts and their size both grow), so scores do not depend on
+files or executors but for the rounding of sums.  Rows equal in doc_id and text
+train in one part.  The driver only ever holds one set of weights (fixed size)
+and the frequent words (``TOP``, fixed size).
 
 Within a class every word is as likely as its own count of the corpus says.
 The counts are a table.  The frequent words' are also broadcast, which only
@@ -26,12 +34,13 @@ is as likely as one that it holds once.
 
 Defined cases: null, empty and blank texts have no tokens, a sum of 0 and no
 mean (null); an empty corpus scores by the untrained network; null doc_ids are
-scored; repeated rows get equal scores; further columns are kept, and result
-columns replace columns of the same names.
+scored; repeated rows get equal scores; further columns are kept (or those that
+the caller names), and result columns replace columns of the same names.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 
@@ -40,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, MapType, StructType
 
-from cohortlake.llm.common import sliced, stored, utf8
+from cohortlake.llm.common import free_name, sliced, stored, utf8
 
 OWN, SHARED = 95, 32
 CLASSES = OWN + SHARED + 1  # and one for places beyond the ends of a text
@@ -49,6 +58,10 @@ TOP = 20_000
 SIZE, HIDDEN, SIDE = 8, 24, 2
 BATCH = 1024
 ROUNDS = 2
+#: Tokens of a round are dealt into as many parts as their square root over this.
+PARTS = 256
+#: Tokens that a task holds at once, but for a longer text.
+TOKENS = 1 << 18
 RESULT = ("n_tokens", "sum_logprob", "mean_logprob")
 
 
@@ -63,14 +76,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
         def emit(counts):
             return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
-        counts: dict[bytes, int] = {}
+        counts: Counter[bytes] = Counter()
         for batch in sliced(batches, "text"):
             for text in utf8(batch, "text"):
-                for w in tokens(text):
-                    counts[w] = counts.get(w, 0) + 1
+                counts.update(tokens(text))
             if len(counts) > 200_000:
                 yield emit(counts)
-                counts = {}
+                counts = Counter()
         if counts:
             yield emit(counts)
 
@@ -139,11 +151,16 @@ def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def forward(net, around: np.ndarray):
+    """(inputs, hidden values, outputs up to a constant of their row)."""
     embed, w1, b1, w2, b2 = net
-    x = embed[around].reshape(len(around), -1)
-    h = np.tanh(x @ w1 + b1)
-    z = h @ w2 + b2
-    z -= z.max(axis=1, keepdims=True)
+    x = embed.take(around.ravel(), axis=0).reshape(len(around), -1)
+    h = x @ w1
+    h += b1
+    np.tanh(h, out=h)
+    z = h @ w2
+    z += b2
+    if (np.abs(w2).sum(axis=0) + np.abs(b2)).max() > 60:  # else no exponential overflows, as |h| <= 1
+        z -= z.max(axis=1, keepdims=True)
     return x, h, z
 
 
@@ -152,25 +169,30 @@ def log_probabilities(net, targets: np.ndarray, around: np.ndarray) -> np.ndarra
     for at in range(0, len(targets), BATCH):
         z = forward(net, around[at : at + BATCH])[2]
         t = targets[at : at + BATCH]
-        out[at : at + BATCH] = z[np.arange(len(t)), t] - np.log(np.exp(z).sum(axis=1))
+        own = z[np.arange(len(t)), t]
+        out[at : at + BATCH] = own - np.log(np.exp(z, out=z).sum(axis=1))
     return out
 
 
+def gradients(net, targets: np.ndarray, around: np.ndarray) -> tuple:
+    """Of the mean negative log-probability of the targets, by each array of the network."""
+    embed, w1, _, w2, _ = net
+    x, h, p = forward(net, around)
+    np.exp(p, out=p)
+    p *= (1 / (p.sum(axis=1, keepdims=True) * len(p))).astype(p.dtype)
+    p[np.arange(len(p)), targets] -= 1 / len(p)
+    dh = p @ w2.T
+    dh *= 1 - h * h
+    dx = dh @ w1.T
+    to = (around.reshape(-1, 1) * SIZE + np.arange(SIZE)).ravel()
+    de = np.bincount(to, dx.ravel(), embed.size).reshape(embed.shape).astype(embed.dtype)
+    return de, x.T @ dh, dh.sum(axis=0), h.T @ p, p.sum(axis=0)
+
+
 def learn(net, squares, targets: np.ndarray, around: np.ndarray, rate: float = 0.05) -> None:
     """One pass of Adagrad over the tokens, in place."""
-    embed, _, _, w2, _ = net
     for at in range(0, len(targets), BATCH):
-        t, a = targets[at : at + BATCH], around[at : at + BATCH]
-        x, h, z = forward(net, a)
-        p = np.exp(z)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(t)), t] -= 1
-        p /= len(t)
-        dh = (p @ w2.T) * (1 - h * h)
-        dx = (dh @ net[1].T).reshape(-1, SIZE)
-        to = a.ravel()
-        de = np.stack([np.bincount(to, dx[:, f], CLASSES) for f in range(SIZE)], axis=1).astype(np.float32)
-        for v, s, g in zip(net, squares, (de, x.T @ dh, dh.sum(axis=0), h.T @ p, p.sum(axis=0))):
+        for v, s, g in zip(net, squares, gradients(net, targets[at : at + BATCH], around[at : at + BATCH])):
             s += g * g
             v -= rate * g / np.sqrt(s)
 
@@ -186,70 +208,124 @@ def others(words: list[bytes], numbers: np.ndarray) -> dict[bytes, int]:
     return Counter(words[k] for k in np.flatnonzero(numbers < SHARED).tolist())
 
 
-def trained(docs: DataFrame, lex, net: list[np.ndarray], part: int) -> list[np.ndarray]:
-    """The mean of the networks that the tasks train on one of the disjoint parts, weighed by tokens."""
-    start = docs.sparkSession.sparkContext.broadcast(net)
+class Coded:
+    """A written table of documents: the columns kept, a row number, a hash of doc_id and text, and of the
+    tokens their number, class numbers, log-probability within the classes, and the words that are not frequent."""
+
+    PARTS = {"row": LongType(), "hash": LongType(), "tokens": LongType(), "codes": BinaryType(), "within": DoubleType(), "others": MapType(BinaryType(), LongType())}
+
+    def __init__(self, docs: DataFrame, lex, kept: list[str]):
+        self.names = names = {n: free_name(docs.select(*kept), f"__{n}") for n in self.PARTS}
+        schema = StructType([docs.schema[c] for c in kept])
+        for n in ("hash", "tokens", "codes", "within", "others"):
+            schema = schema.add(names[n], self.PARTS[n])
+        text, kinds = free_name(docs.select(*kept), "__text"), [docs.schema[c].name for c in kept]
+
+        def run(batches):
+            known = Lexicon(*lex.value)
+            for batch in sliced(batches, text, 1 << 20):
+                split, numbers = classified(utf8(batch, text), known)
+                sizes = [len(x) for x in numbers]
+                codes = [known.classes[x].astype(np.uint8).tobytes() for x in numbers]
+                within = [float(known.within[x].sum()) for x in numbers]
+                found = [others(w, x) for w, x in zip(split, numbers)]
+                at = pa.array(np.cumsum([0] + [len(x) for x in found]), pa.int32())
+                words, times = [w for x in found for w in x], [n for x in found for n in x.values()]
+                rest = pa.MapArray.from_arrays(at, pa.array(words, pa.binary()), pa.array(times, pa.int64()))
+                own = [batch.column(c) for c in [*kinds, names["hash"]]]
+                made = [pa.array(sizes, pa.int64()), pa.array(codes, pa.binary()), pa.array(within, pa.float64()), rest]
+                yield pa.RecordBatch.from_arrays([*own, *made], names=schema.fieldNames())
+
+        key = F.xxhash64(*[c for c in ("doc_id", "text") if c in docs.columns])
+        made = docs.select(*kept, key.alias(names["hash"]), F.col("text").cast("string").alias(text)).mapInArrow(run, schema)
+        # Stored, so that a row keeps its number.
+        self.rows = stored(made.withColumn(names["row"], F.monotonically_increasing_id()), "lm-rows")
+
+    def col(self, name: str):
+        return F.col(self.names[name])
+
+
+def trained(coded: Coded, net: list[np.ndarray], part: int) -> list[np.ndarray]:
+    """The mean of the networks that the parts of a round train, weighed by tokens."""
+    some = coded.rows.select(coded.col("hash").alias("hash"), coded.col("tokens").alias("tokens"), coded.col("codes").alias("codes")).where(F.pmod("hash", F.lit(ROUNDS)) == part)
+    tokens_of = some.agg(F.sum("tokens")).first()[0]
+    if not tokens_of:
+        return net
+    start = coded.rows.sparkSession.sparkContext.broadcast(net)
     total = sum(v.size for v in net)
 
     def run(batches):
         own = [v.copy() for v in start.value]
-        squares, known, n = [np.full_like(v, 1e-6) for v in own], Lexicon(*lex.value), 0
-        for batch in sliced(batches, "text", 1 << 20):
-            _, numbers = classified(utf8(batch, "text"), known)
-            targets, around = windows([known.classes[x] for x in numbers])
+        squares, n = [np.full_like(v, 1e-6) for v in own], 0
+        for batch in sliced(batches, "codes", TOKENS):
+            targets, around = windows(class_numbers(batch, "codes"))
             learn(own, squares, targets, around)
             n += len(targets)
         if n:
             values = np.concatenate([v.ravel() for v in own]).astype(np.float64) * n
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(total + 1)), pa.array(np.append(values, n))], names=["at", "value"])
 
-    some = docs.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(ROUNDS)) == part).select("text")
-    sums = some.mapInArrow(run, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
-    if not sums:
-        return net
+    dealt = some.repartition(math.ceil(math.sqrt(tokens_of) / PARTS), "hash").sortWithinPartitions("hash", "codes").select("codes")
+    sums = dealt.mapInArrow(run, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
+    start.destroy()
     flat = np.zeros(total + 1)
     for at, value in sums:
         flat[at] = value
     ends = np.cumsum([v.size for v in net])
-    return [flat[e - v.size : e].reshape(v.shape).astype(np.float32) / np.float32(flat[-1]) for v, e in zip(net, ends)]
+    return [(flat[e - v.size : e].reshape(v.shape) / flat[-1]).astype(np.float32) for v, e in zip(net, ends)]
 
 
-def fit(docs: DataFrame):
-    """(broadcast arguments of a Lexicon, network, (word, n) of all words) of a corpus (doc_id, text)."""
+def class_numbers(batch: pa.RecordBatch, column: str) -> list[np.ndarray]:
+    return [np.frombuffer(c, np.uint8) for c in batch.column(column).to_pylist()]
+
+
+def vocabulary(docs: DataFrame):
+    """(broadcast arguments of a Lexicon, (word, n) of all words) of a corpus."""
     counts = stored(word_counts(docs), "word-counts")
-    lex = docs.sparkSession.sparkContext.broadcast(lexicon(counts))
+    return docs.sparkSession.sparkContext.broadcast(lexicon(counts)), counts
+
+
+def network(coded: Coded) -> list[np.ndarray]:
     net = initial()
     for part in range(ROUNDS):
-        net = trained(docs, lex, net, part)
-    return lex, net, counts
+        net = trained(coded, net, part)
+    return net
 
 
-def lm_scores(docs: DataFrame, model=None) -> DataFrame:
-    """``docs`` with n_tokens, sum_logprob and mean_logprob under a model (by default one fitted to them)."""
-    lex, net, counts = model or fit(docs)
-    kept = [c for c in docs.columns if c not in RESULT]
-    more = StructType().add("__tokens", LongType()).add("__sum", DoubleType()).add("__others", MapType(BinaryType(), LongType()))
-    schema = StructType([docs.schema[c] for c in kept] + more.fields)
+def fit(docs: DataFrame):
+    """(broadcast arguments of a Lexicon, network, (word, n) of all words) of a corpus (doc_id, text)."""
+    lex, counts = vocabulary(docs)
+    return lex, network(Coded(docs, lex, [])), counts
+
+
+def lm_scores(docs: DataFrame, model=None, columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (its ``columns``, by default all) with n_tokens, sum_logprob and mean_logprob under a model (by default one fitted to them)."""
+    kept = [c for c in (docs.columns if columns is None else columns) if c not in RESULT]
+    if model is None:
+        lex, counts = vocabulary(docs)
+        coded = Coded(docs, lex, kept)
+        net = network(coded)
+    else:
+        lex, net, counts = model
+        coded = Coded(docs, lex, kept)
     shared = docs.sparkSession.sparkContext.broadcast(net)
+    names = coded.names
+    plain = [*kept, names["row"], names["tokens"]]
+    schema = StructType([coded.rows.schema[c] for c in plain]).add(names["within"], DoubleType())
 
     def run(batches):
-        known = Lexicon(*lex.value)
-        for batch in sliced(batches, "text", 1 << 20):
-            split, numbers = classified(utf8(batch, "text"), known)
-            logs = log_probabilities(shared.value, *windows([known.classes[x] for x in numbers])) + known.within[np.concatenate(numbers)]
-            sizes = np.array([len(x) for x in numbers])
-            ends = np.concatenate([[0.0], np.cumsum(logs)])[np.concatenate([[0], np.cumsum(sizes)])]
-            found = [others(w, x) for w, x in zip(split, numbers)]
-            at = pa.array(np.cumsum([0] + [len(x) for x in found]), pa.int32())
-            words, times = [w for x in found for w in x], [n for x in found for n in x.values()]
-            rest = pa.MapArray.from_arrays(at, pa.array(words, pa.binary()), pa.array(times, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64()), pa.array(np.diff(ends)), rest], names=schema.fieldNames())
-
-    # Stored, so that a row keeps its number.
-    made = stored(docs.select(*kept).mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "lm-rows")
-    words = made.select("__row", F.explode("__others").alias("word", "times"))
+        for batch in sliced(batches, names["codes"], TOKENS):
+            ids = class_numbers(batch, names["codes"])
+            logs = log_probabilities(shared.value, *windows(ids))
+            ends = np.concatenate([[0.0], np.cumsum(logs)])[np.cumsum([0] + [len(x) for x in ids])]
+            sums = np.diff(ends) + np.asarray(batch.column(names["within"]))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in schema.names[:-1]], pa.array(sums, pa.float64())], names=schema.names)
+
+    scored = coded.rows.select(*plain, names["codes"], names["within"]).mapInArrow(run, schema)
+    words = coded.rows.select(coded.col("row").alias("row"), F.explode(coded.col("others")).alias("word", "times"))
     # The logarithm of a count of one adds nothing.
-    terms = words.join(counts.where("n > 1"), "word").groupBy("__row").agg(F.sum(F.col("times") * F.log("n")).alias("__more"))
-    total = F.col("__sum") + F.coalesce("__more", F.lit(0.0))
-    mean = F.when(F.col("__tokens") > 0, total / F.col("__tokens"))
-    return made.join(terms, "__row", "left").select(*kept, F.col("__tokens").alias("n_tokens"), total.alias("sum_logprob"), mean.alias("mean_logprob"))
+    terms = words.join(counts.where("n > 1"), "word").groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("more"))
+    terms = terms.select(F.col("row").alias(names["row"]), F.col("more").alias(names["others"]))
+    total = coded.col("within") + F.coalesce(coded.col("others"), F.lit(0.0))
+    mean = F.when(coded.col("tokens") > 0, total / coded.col("tokens"))
+    return scored.join(terms, names["row"], "left").select(*kept, coded.col("tokens").alias("n_tokens"), total.alias("sum_logprob"), mean.alias("mean_logprob"))

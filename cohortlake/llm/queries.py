@@ -55,7 +55,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"), columns=["doc_id"])
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
