@@ -14,9 +14,13 @@ from cohortlake.config import CONFIG
 from cohortlake.functions.columns import hash_bucket, parse_iso_date
 from cohortlake.operators import features as feat
 from cohortlake.operators import quality as q
+from cohortlake.operators.differences import key_differences
 from cohortlake.plans import curate, experiments as X, pipeline
 from cohortlake.plans import refresh as R
+from cohortlake.plans.bucketed import BucketedStore, bucketed_features, write_inputs
 from cohortlake.plans.committed import Store, missing_files, storage_summary, written_relations
+from cohortlake.plans.footers import date_range_from_footers
+from cohortlake.plans.members import MemberStore
 from cohortlake.plans.stages import stage
 from cohortlake.registry import register
 from cohortlake.schemas import DATE_RANGE_SCHEMA, FEATURE_SCHEMA, SEGMENT_SCHEMA
@@ -275,17 +279,22 @@ def features_incremental_refresh(spark, sf):
     return R.features_from_partials(spark, R.PartialStore(stage(spark, sf, "daily-partials", write)), cur.labels_march, cur.members, MAR)
 
 
+def _versions_sql(table: str, day: str, value: str, old: str, month: str) -> str:
+    """Each distinct row of a table before and now, with its copies before (b) and now (n)."""
+    return f"""SELECT * EXCLUDE (b, n), sum(b) AS b, sum(n) AS n FROM (
+      SELECT *, 0 AS b, 1 AS n FROM {table}
+      UNION ALL SELECT * REPLACE (CASE WHEN dayofmonth({day}) = 5 THEN {old} ELSE {value} END AS {value}), 1, 0 FROM {table}
+        WHERE NOT ({day} BETWEEN DATE '{MAR}' - 6 AND DATE '{MAR}' AND {O.bucket()} < 33)
+      UNION ALL SELECT * REPLACE (CAST({day} - INTERVAL 480 MONTH AS DATE) AS {day}), 1, 0 FROM {table} WHERE strftime({day}, '%Y-%m') = '{month}')
+    GROUP BY ALL"""
+
+
 def _changes_sql(table: str, day: str, value: str, old: str, month: str) -> str:
     """Days of a table whose multisets of rows differ, by comparing the rows themselves."""
     return f"""
 SELECT '{table}' AS table_name, day, CASE WHEN rows_before = 0 THEN 'new' WHEN rows_now = 0 THEN 'gone' ELSE 'changed' END AS change, rows_before, rows_now
 FROM (SELECT {day} AS day, CAST(sum(b) AS BIGINT) AS rows_before, CAST(sum(n) AS BIGINT) AS rows_now, bool_or(b <> n) AS differs
-  FROM (SELECT * EXCLUDE (b, n), sum(b) AS b, sum(n) AS n FROM (
-      SELECT *, 0 AS b, 1 AS n FROM {table}
-      UNION ALL SELECT * REPLACE (CASE WHEN dayofmonth({day}) = 5 THEN {old} ELSE {value} END AS {value}), 1, 0 FROM {table}
-        WHERE NOT ({day} BETWEEN DATE '{MAR}' - 6 AND DATE '{MAR}' AND {O.bucket()} < 33)
-      UNION ALL SELECT * REPLACE (CAST({day} - INTERVAL 480 MONTH AS DATE) AS {day}), 1, 0 FROM {table} WHERE strftime({day}, '%Y-%m') = '{month}')
-    GROUP BY ALL)
+  FROM ({_versions_sql(table, day, value, old, month)})
   GROUP BY day)
 WHERE differs"""
 
@@ -297,3 +306,48 @@ def refresh_changed_days(spark, sf):
     cur = curated_stage(spark, sf)
     store = _loaded_before(spark, sf, "partials-before")
     return R.changed_days(store, cur.transactions, cur.user_logs, curate.TX_PARTITIONS, curate.LOG_PARTITIONS)
+
+
+# ----------------------------------------------------------------- V1: row by row
+@register("reconcile_rows", f"""
+SELECT msno, CAST(sum(greatest(b - n, 0)) AS BIGINT) AS only_left, CAST(sum(greatest(n - b, 0)) AS BIGINT) AS only_right
+FROM ({_versions_sql("transactions", "transaction_date", "is_cancel", "1 - is_cancel", "2001-01")}) WHERE b <> n GROUP BY msno""")
+def reconcile_rows(spark, sf):
+    """V1: the transactions as they were before against those as they are, row by row, counted by subscriber."""
+    now = curated_as_clean(spark, sf)
+    return key_differences(_tables_before(now)[0], now.transactions, CONFIG.key)
+
+
+# ----------------------------------------------------------------- W1, C2: members as a state
+@register("members_merged", "SELECT * FROM members")
+def members_merged(spark, sf):
+    """Member rows in two deliveries that overlap, the second merged into the states of the first."""
+    def write(base):
+        rows = counted_stage(spark, sf)["members_v3"]
+        part = hash_bucket(F.concat_ws("|", "msno", "registration_init_time"))
+        store = MemberStore(base, 16)
+        store.merge(rows.where(part < 60))
+        store.merge(rows.where((part >= 50) | part.isNull()))
+
+    return MemberStore(stage(spark, sf, "member-states", write), 16).members(spark)
+
+
+# ----------------------------------------------------------------- J1, B4: bucketed storage
+@register("features_bucketed", "SELECT * FROM march_features", doubles=FEATURE_DOUBLES)
+def features_bucketed(spark, sf):
+    """B5 from bucketed inputs: no exchange between the four scans and the features."""
+    def write(base):
+        t = curated_as_clean(spark, sf)
+        write_inputs(spark, BucketedStore(base, 8), t.labels_february, t.labels_march, t.members, t.transactions, t.user_logs)
+
+    return bucketed_features(spark, BucketedStore(stage(spark, sf, "bucketed", write), 8), "march")
+
+
+# ----------------------------------------------------------------- A9, O4: bounds from footers
+@register("date_range_from_footers", """
+SELECT 'transactions' AS table_name, CAST(MIN(transaction_date) AS VARCHAR) AS minimum_valid_date, CAST(MAX(transaction_date) AS VARCHAR) AS maximum_valid_date FROM transactions
+UNION ALL SELECT 'user_logs', CAST(MIN(event_date) AS VARCHAR), CAST(MAX(event_date) AS VARCHAR) FROM user_logs""")
+def date_ranges_from_footers(spark, sf):
+    """O4 of the stored clean tables, answered by their files' statistics."""
+    held = Store(spark, curated_stage(spark, sf).base).latest()
+    return date_range_from_footers(held, {"transactions": "transaction_date", "user_logs": "event_date"}, curate.CURATED_LAYER)

@@ -81,6 +81,17 @@ class Snapshot:
             return spark.createDataFrame([], schema)
         return spark.read.format(held[0].format).schema(schema).options(**options).load([e.path for e in held])
 
+    def read_bucketed(self, relation: str, layer: str, buckets: int, key: str) -> DataFrame:
+        """A relation written with ``bucket_by=(buckets, key)``, as a table whose buckets Spark knows."""
+        found = [e for e in self.held if e.relation == relation and e.layer == layer]
+        if not found:
+            raise NotCommitted(f"{layer}/{relation} is in no manifest of {self.store.base}")
+        (held,) = found
+        name = "bucketed_" + held.path.rsplit("-", 1)[1]
+        schema = StructType.fromJson(json.loads(held.schema)).toDDL()
+        self.store.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{held.path}'")
+        return self.store.spark.table(name)
+
 
 @dataclass(frozen=True)
 class Store:
@@ -92,12 +103,22 @@ class Store:
         return f"{self.base}/manifests"
 
     # ------------------------------------------------------------- writing
-    def write(self, relation: str, frame: DataFrame, layer: str = "data", partition_by: tuple = (), format: str = "parquet", **options) -> Entry:
-        """``frame`` in a fresh folder; it is not part of the store before ``commit``."""
-        path = f"{self.base}/{layer}/{relation}-{uuid.uuid4().hex[:12]}"
+    def write(self, relation: str, frame: DataFrame, layer: str = "data", partition_by: tuple = (), format: str = "parquet", bucket_by: tuple = (), **options) -> Entry:
+        """``frame`` in a fresh folder; it is not part of the store before ``commit``.
+
+        ``bucket_by``: number of buckets and the columns that they are made and sorted by.
+        """
+        mark = uuid.uuid4().hex[:12]
+        path = f"{self.base}/{layer}/{relation}-{mark}"
         seen = Observation()
         writer = frame.observe(seen, *content(frame.columns)).write.format(format).options(**options)
-        (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+        if bucket_by:
+            # Spark writes buckets for tables only; this one is dropped, its files stay.
+            name = f"written_{mark}"
+            writer.bucketBy(*bucket_by).sortBy(*bucket_by[1:]).option("path", path).saveAsTable(name)
+            self.spark.sql(f"DROP TABLE {name}")
+        else:
+            (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
         return Entry(layer, relation, None, path, format, seen.get["rows"], seen.get["digest"], frame.schema.json())
 
     def write_parts(self, relation: str, frame: DataFrame, part_columns: tuple, layer: str = "data") -> list[Entry]:
