@@ -150,12 +150,13 @@ def repeated_passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
 
     ``first_words`` of its words lie in units whose first occurrence this is.
     """
-    found = unit_table(docs, run_words)
+    # Both sides of the joins are written tables, so that a hot digest's partition can be split.
+    found = stored(unit_table(docs, run_words), "units", compression="zstd")
     known = found.groupBy("digest").agg(F.sum(F.size("places")).alias("n")).where("n > 1").select("digest")
-    again = stored(found.join(known, "digest"), "repeated")
+    again = stored(found.join(stored(known, "repeated-digests"), "digest"), "repeated")
     place = F.struct("doc_id", "key", "start")
     firsts = again.groupBy("digest").agg(F.min(F.struct("doc_id", "key", F.col("places")[0]["start"].alias("start"))).alias("first"))
-    marked = again.join(firsts, "digest").select("doc_id", "key", "first", F.inline("places")).select("doc_id", "key", "start", "end", "at", "words", place.eqNullSafe(F.col("first")).alias("is_first"))
+    marked = again.join(stored(firsts, "first-places"), "digest").select("doc_id", "key", "first", F.inline("places")).select("doc_id", "key", "start", "end", "at", "words", place.eqNullSafe(F.col("first")).alias("is_first"))
     # All units of a document in one task: repeated rows fall together, runs are told by overlapping spans.
     dealt = marked.repartition("doc_id", "key").dropDuplicates(["doc_id", "key", "start"])
     order = Window.partitionBy("doc_id", "key").orderBy("start")

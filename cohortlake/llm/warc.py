@@ -67,7 +67,8 @@ def captures(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
     # Stored with the pages: a second scan may be split otherwise and number the rows otherwise.
     known = stored(read, "captures", compression="zstd")
     owners = known.where(F.col("size") >= min_bytes).groupBy("sha1", "size").agg(F.max(F.struct("page_id", "serial")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    revisits = known.join(owners, ["sha1", "size"]).where("serial <> first.serial").select("serial", "first")
+    # Written, so that a hot payload's partition of the join can be split.
+    revisits = known.join(stored(owners, "owners"), ["sha1", "size"]).where("serial <> first.serial").select("serial", "first")
     return known.join(stored(revisits, "revisits"), "serial", "left")
 
 
